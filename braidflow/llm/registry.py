@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from braidflow.llm import packing, token_output
+from braidflow.llm import packing, token_output, toxicity
 
-_QUERIES = [packing.op5_packing, token_output.op8_token_output]
+_QUERIES = [packing.op5_packing, token_output.op8_token_output, toxicity.op9_toxicity]
 _SQL: dict[str, str] = {}
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from braidflow.llm.common import batch, doc_crc, mix64, pieces
 
 #: Labelled rows of each class that the classifier is fitted on, at most.
-PER_CLASS = 2500
+PER_CLASS = 1500
 ORDERS = (2, 3, 4, 5, 6)
 BITS = 18
 _WORD = re.compile(r"\w+")
@@ -76,8 +76,12 @@ class Model:
         return total[ends] - total[ends - counts]
 
 
-def fit(texts: list[set[str]], labels: list[int], *, rounds: int = 150, ridge: float = 1e-4, alpha: float = 1.0, least_docs: int = 3) -> Model:
-    """Fit on sets of words. ``least_docs``: n-grams of fewer training texts have no weight."""
+def fit(texts: list[set[str]], labels: list[int], *, rounds: int = 150, ridge: float = 1e-4, alpha: float = 1.0, errors: float = 4.0) -> Model:
+    """Fit on sets of words.
+
+    n-grams whose ratio is within ``errors`` standard errors of 0 have no weight: in a text of thousands of clean
+    words their chance ratios would add up to more than a few toxic words.
+    """
     y = np.array(labels, float)
     if len(set(labels)) < 2:
         return Model(np.zeros(1 << BITS, np.float32), 0.0, float(y.mean()) if len(y) else 0.0)
@@ -88,20 +92,25 @@ def fit(texts: list[set[str]], labels: list[int], *, rounds: int = 150, ridge: f
     word = np.fromiter((index[w] for t in texts for w in t), np.int64, sizes.sum())
     order = np.lexsort((word, doc))
     doc, word = doc[order], word[order]
-    grams, counts = word_grams(words)
-    owner = np.repeat(np.arange(len(words)), counts)
+    grams, owner = [], []
+    for at in range(0, len(words), 20_000):  # in parts, for memory
+        some, counts = word_grams(words[at : at + 20_000])
+        grams.append(some.astype(np.int32))
+        owner.append(np.repeat(np.arange(at, at + len(counts), dtype=np.int32), counts))
+    grams, owner = np.concatenate(grams), np.concatenate(owner)
+    first = np.searchsorted(owner, np.arange(len(words) + 1))
     # How many training texts of each class have each n-gram, a text counted once.
-    first = np.concatenate(([0], np.cumsum(counts)))
     have = np.zeros((2, 1 << BITS))
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     for i in range(len(texts)):
         own = word[bounds[i] : bounds[i + 1]]
         if len(own):
-            mine = np.unique(np.concatenate([grams[first[w] : first[w + 1]] for w in own]))
-            have[labels[i], mine] += 1
+            mine = np.zeros(1 << BITS, bool)
+            mine[np.concatenate([grams[first[w] : first[w + 1]] for w in own])] = True
+            have[labels[i]] += mine
     clean, toxic = have[0] + alpha, have[1] + alpha
     ratio = np.log(toxic / toxic.sum()) - np.log(clean / clean.sum())
-    ratio[have.sum(0) < least_docs] = 0
+    ratio[np.abs(ratio) < errors * np.sqrt(1 / toxic + 1 / clean)] = 0
     keep = ratio[grams] != 0
     grams, owner = grams[keep], owner[keep]
     value = ratio[grams]

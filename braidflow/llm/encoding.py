@@ -45,6 +45,15 @@ def _kind(path: str) -> str:
     return "whole"
 
 
+def _latin(text: str) -> bool:
+    """Whether lower-casing goes character by character, with no choice between forms."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordEncoder:
     """``ids(texts)`` gives, for each text, its ids as little-endian unsigned 32-bit bytes (no special tokens added)."""
 
@@ -104,7 +113,7 @@ class WordEncoder:
         """What encodes alike alone and in its place: words, with the space before them, and closing marks."""
         marks = not _RUN_OF_MARKS.search(text) and text[0] not in ".," and "\u0130" not in text  # its lower case ends in no letter
         if self.kind == "at spaces":
-            if text.isascii():
+            if text.isascii() or _latin(text):
                 text = text.lower()  # as the tokenizer does; it makes words alike
             if marks:
                 text = text.replace(",", " ,").replace(".", " .")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from braidflow.llm import packing, token_output, toxicity
+from braidflow.llm import decontamination, packing, token_output, toxicity
 
-_QUERIES = [packing.op5_packing, token_output.op8_token_output, toxicity.op9_toxicity]
-_SQL: dict[str, str] = {}
+_QUERIES = [packing.op5_packing, token_output.op8_token_output, toxicity.op9_toxicity, decontamination.op10_decontamination]
+_SQL = {"op10_decontamination": decontamination.ORACLE_SQL}
 
 
 def queries() -> dict:

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from braidflow.llm import decontamination, packing, token_output, toxicity
+from braidflow.llm import decontamination, jaccard_join, packing, token_output, toxicity
 
-_QUERIES = [packing.op5_packing, token_output.op8_token_output, toxicity.op9_toxicity, decontamination.op10_decontamination]
-_SQL = {"op10_decontamination": decontamination.ORACLE_SQL}
+_QUERIES = [
+    jaccard_join.op4_jaccard_join,
+    packing.op5_packing,
+    token_output.op8_token_output,
+    toxicity.op9_toxicity,
+    decontamination.op10_decontamination,
+]
+_SQL = {
+    "op4_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op10_decontamination": decontamination.ORACLE_SQL,
+}
 
 
 def queries() -> dict:

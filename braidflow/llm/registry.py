@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from braidflow.llm import decontamination, jaccard_join, packing, token_output, toxicity
+from braidflow.llm import decontamination, jaccard_join, packing, pii, token_output, toxicity
 
 _QUERIES = [
     jaccard_join.op4_jaccard_join,
     packing.op5_packing,
+    pii.op7_pii,
     token_output.op8_token_output,
     toxicity.op9_toxicity,
     decontamination.op10_decontamination,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from braidflow.llm import decontamination, jaccard_join, packing, pii, token_output, toxicity
+from braidflow.llm import decontamination, jaccard_join, license_scan, packing, pii, token_output, toxicity
 
 _QUERIES = [
+    license_scan.op1_license_scan,
     jaccard_join.op4_jaccard_join,
     packing.op5_packing,
     pii.op7_pii,

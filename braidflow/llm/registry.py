@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from braidflow.llm import decontamination, jaccard_join, license_scan, packing, pii, token_output, toxicity
+from braidflow.llm import decontamination, jaccard_join, license_scan, lm_scoring, packing, pii, token_output, toxicity
 
 _QUERIES = [
     license_scan.op1_license_scan,
+    lm_scoring.op2_lm_scoring,
     jaccard_join.op4_jaccard_join,
     packing.op5_packing,
     pii.op7_pii,

@@ -138,10 +138,24 @@ def contained(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
     return out.distinct().withColumn("containment", F.col("shared") / F.col("item_shingles"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows of ``docs`` that contain no item, with all their columns, where they are."""
+    spark = docs.sparkSession
+    for some in blocks(spark, benchmark, item_id, item_text, block_items):
+        shared = spark.sparkContext.broadcast(Items(some, size, threshold, recall))
+
+        def kept(batches, shared=shared):
+            items = shared.value
+            for b in pieces(batches, 2048):
+                yield b.filter(pa.array([not items.search(t) for t in text_bytes(b.column(text_col))], pa.bool_()))
+
+        docs = docs.mapInArrow(kept, docs.schema)
+    return docs
+
+
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: documents that hold a benchmark item go; the others keep all their columns."""
-    bad = contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(bad._bad_id), "left_anti")
+    return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -146,28 +146,49 @@ def sample(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, la
     return [set(r[2].split()) for r in rows], [r[1] for r in rows]
 
 
-def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", cached_words: int = 500_000) -> DataFrame:
+class Scorer:
+    """Scores texts with a model, keeping the scores of the words seen."""
+
+    def __init__(self, model: Model, cached_words: int = 500_000):
+        self.model, self.most, self.cache = model, cached_words, {}
+
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        if self.model.constant is not None:
+            return np.full(len(texts), self.model.constant)
+        sets, cache = [distinct_words(t) for t in texts], self.cache
+        unseen = list({w for s in sets for w in s if w not in cache})
+        if len(cache) + len(unseen) > self.most:
+            cache.clear()
+            unseen = list(set().union(*sets))
+        cache.update(zip(unseen, self.model.word_scores(unseen).tolist(), strict=True))
+        z = np.array([self.model.intercept + sum(sorted(map(cache.__getitem__, s))) for s in sets])
+        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
+def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score (0 to 1) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        own, cache = shared.value, {}
+        scorer = Scorer(shared.value)
         for b in pieces(batches):
-            if own.constant is not None:
-                yield batch(_ARROW, doc_id=b.column(0), score=[own.constant] * b.num_rows)
-                continue
-            sets = [distinct_words(t) for t in b.column(1).to_pylist()]
-            unseen = list({w for s in sets for w in s if w not in cache})
-            if len(cache) + len(unseen) > cached_words:
-                cache.clear()
-                unseen = list(set().union(*sets))
-            cache.update(zip(unseen, own.word_scores(unseen).tolist(), strict=True))
-            z = np.array([own.intercept + sum(sorted(map(cache.__getitem__, s))) for s in sets])
-            yield batch(_ARROW, doc_id=b.column(0), score=1 / (1 + np.exp(-np.clip(z, -500, 500))))
+            yield batch(_ARROW, doc_id=b.column(0), score=scorer(b.column(1).to_pylist()))
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scored, "doc_id long, score double")
 
 
+def below(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores less than ``threshold``, with all their columns, where they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches):
+        scorer = Scorer(shared.value)
+        for b in pieces(batches):
+            yield b.filter(pa.array(scorer(b.column(text_col).to_pylist()) < threshold))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, held_out: Column | None = None) -> Model:
     """``held_out``: a condition on the labels' rows that are never learnt from (by default those whose crc32 of the id mod 5 is 0)."""
     if held_out is None:
@@ -177,9 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: rows whose score is 0.5 or more go; the others keep all their columns."""
-    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    bad = score(docs, model).where(F.col("score") >= 0.5).select(F.col("doc_id").alias("_toxic_id")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(bad._toxic_id), "left_anti")
+    return below(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -18,9 +18,6 @@ import numpy as np
 
 #: White space other than space and newline, as either Python or Unicode has it.
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-#: A comma or full stop that may belong to the same run of marks as what stands before it.
-_RUN_OF_MARKS = re.compile(r"[\W_][.,]")
-
 #: Stands between words that are encoded together; texts that hold it go through the library whole.
 _MARK = "\x01"
 
@@ -72,6 +69,11 @@ class WordEncoder:
             mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
             self.kind = self.kind if len(mark) == 1 else "whole"
             self.mark[mark] = True
+        self.before = {mark: (" " if self.kind == "at spaces" else "\0") + mark for mark in ",."}
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens, self.closes = np.zeros_like(self.mark), np.zeros_like(self.mark)
+        self.opens[[i for t, i in vocabulary.items() if t[:1] == "\u0120"]] = True  # how a byte-level vocabulary writes a space
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.newline = self._whole(["\n"])[0]
         self.cache |= {"": b"", "\n": self.newline}
 
@@ -88,17 +90,27 @@ class WordEncoder:
         if self.older:
             self.cache.update((k, self.older[k]) for k in keys & self.older.keys())
         keys = [k for k in keys if k not in self.cache]
+        # Most words show in the ids where they begin or end; the others stand between marks.
+        if self.kind == "at spaces":
+            plain = [k for k in keys if k.isalpha() and (k.isascii() or _latin(k))]
+            known = set(plain)
+            others = [k for k in keys if k not in known]
+            self._keep(plain, " ".join(plain), lambda ids, at: (np.concatenate(([0], at[:-1] + 1)), at + 1), self.closes)
+            self._keep(others, f" {_MARK} ".join(others), lambda ids, at: (np.concatenate(([0], at + 1)), np.concatenate((at, [len(ids)]))), self.mark)
+        else:
+            plain, others = [k for k in keys if k[0] == " "], [k for k in keys if k[0] != " "]
+            self._keep(plain, "".join(plain), lambda ids, at: (at, np.concatenate((at[1:], [len(ids)]))), self.opens)
+            # Around each mark stands a newline, an id of its own.
+            self._keep(others, f"\n{_MARK}\n".join(others), lambda ids, at: (np.concatenate(([0], at + 2)), np.concatenate((at - 1, [len(ids)]))), self.mark)
+
+    def _keep(self, keys: list[str], text: str, cut, edges: np.ndarray) -> None:
         if not keys:
             return
-        text = f" {_MARK} ".join(keys) if self.kind == "at spaces" else f"\n{_MARK}\n".join(keys)
         ids = np.frombuffer(self._whole([text])[0], "<u4")
-        at = np.flatnonzero(self.mark[ids])
-        if self.kind == "before spaces":  # around each mark stands a newline, an id of its own
-            starts, ends = np.concatenate(([0], at + 2)), np.concatenate((at - 1, [len(ids)]))
-        else:
-            starts, ends = np.concatenate(([0], at + 1)), np.concatenate((at, [len(ids)]))
-        if len(starts) != len(keys):
-            raise RuntimeError("this tokenizer does not cut texts at white space as its file says")
+        starts, ends = cut(ids, np.flatnonzero(edges[ids]))
+        if len(starts) != len(keys):  # a word that shows otherwise than expected: one by one
+            self.cache.update(zip(keys, self._whole(keys), strict=True))
+            return
         raw = ids.tobytes()
         self.cache.update((k, raw[x:y]) for k, x, y in zip(keys, (4 * starts).tolist(), (4 * ends).tolist(), strict=True))
 
@@ -111,15 +123,15 @@ class WordEncoder:
 
     def _words(self, text: str) -> list[str]:
         """What encodes alike alone and in its place: words, with the space before them, and closing marks."""
-        marks = not _RUN_OF_MARKS.search(text) and text[0] not in ".," and "\u0130" not in text  # its lower case ends in no letter
+        marks = text[0] not in ".," and "\u0130" not in text  # the lower case of that letter ends in no letter
+        for mark in ",." if marks else "":
+            between = text.split(mark)
+            if all([x[-1:].isalnum() for x in between[:-1]]):
+                text = self.before[mark].join(between)
         if self.kind == "at spaces":
             if text.isascii() or _latin(text):
                 text = text.lower()  # as the tokenizer does; it makes words alike
-            if marks:
-                text = text.replace(",", " ,").replace(".", " .")
             return text.replace("\n", " ").split(" ")
-        if marks:
-            text = text.replace(",", "\0,").replace(".", "\0.")
         return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
@@ -133,12 +145,11 @@ class WordEncoder:
             else:
                 words = self._words(text)
                 found = list(map(self.cache.get, words))
-                while None in found:
-                    self._learn({w for w, x in zip(words, found, strict=True) if x is None})
-                    found = list(map(self.cache.get, words))
-                    if None in found:  # a new cache was begun
-                        self._learn(set(words))
-                        found = list(map(self.cache.get, words))
+                if None in found:
+                    unseen = [w for w, x in zip(words, found, strict=True) if x is None]
+                    self._learn(set(unseen))
+                    rest = iter(list(map(self.cache.__getitem__, unseen)))
+                    found = [next(rest) if x is None else x for x in found]
                 out[i] = b"".join(found)
         for at in range(0, len(late), 64):
             some = late[at : at + 64]

@@ -34,7 +34,7 @@ def resolve(selector, columns: Sequence[str]) -> list[str]:
         return []
     if isinstance(selector, Selector):
         raise FieldError(f"{selector} does not select from a dataset")
-    if isinstance(selector, (str, int)):
+    if not isinstance(selector, (list, tuple)):
         selector = [selector]
     out = []
     for x in selector:

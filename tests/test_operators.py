@@ -20,9 +20,9 @@ def values(df):
 
 @pytest.fixture(scope="module")
 def abc(spark):
-    a = spark.createDataFrame([(1, "a1"), (2, "a2"), (None, "an")], "k int, a string")
-    b = spark.createDataFrame([(1, "b1"), (1, "b1x"), (3, "b3"), (None, "bn")], "k int, b string")
-    c = spark.createDataFrame([(1, "c1"), (3, "c3"), (4, "c4"), (None, "cn")], "k int, c string")
+    a = spark.sql("select * from values (1, 'a1'), (2, 'a2'), (null, 'an') as t(k, a)")
+    b = spark.sql("select * from values (1, 'b1'), (1, 'b1x'), (3, 'b3'), (null, 'bn') as t(k, b)")
+    c = spark.sql("select * from values (1, 'c1'), (3, 'c3'), (4, 'c4'), (null, 'cn') as t(k, c)")
     return {"a": a, "b": b, "c": c}
 
 

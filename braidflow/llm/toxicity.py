@@ -19,6 +19,7 @@ it joins. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from braidflow.llm.common import batch, doc_crc, mix64, pieces
 
 #: Labelled rows of each class that the classifier is fitted on, at most.
 PER_CLASS = 1500
-ORDERS = (2, 3, 4, 5, 6)
+ORDERS = (3, 4, 5, 6)
 BITS = 18
 _WORD = re.compile(r"\w+")
 _ARROW = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -41,10 +42,10 @@ def distinct_words(text: str | None) -> set[str]:
     return set(_WORD.findall(text.lower())) if text else set()
 
 
-def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram buckets of each word, one after the other, and how many each word has (repeats within a word once)."""
+def word_grams(words: list[str], wanted: np.ndarray | None = None) -> np.ndarray:
+    """The distinct pairs of a word's number and an n-gram's bucket, ``number << BITS | bucket``, sorted; ``wanted`` buckets only."""
     if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64)
     chars = np.frombuffer("".join(f"\2{w}\3" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     word = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
     hashed = mix64(chars + np.uint64(1))
@@ -55,10 +56,12 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             break
         rolling = mix64(rolling[:m] * np.uint64(31) + hashed[n - 1 :])
         if n in ORDERS:
+            bucket = (rolling >> np.uint64(64 - BITS)).astype(np.int64)
             inside = word[:m] == word[n - 1 :]
-            found.append((word[:m][inside].astype(np.int64) << BITS) | (rolling[inside] >> np.uint64(64 - BITS)).astype(np.int64))
-    pairs = np.unique(np.concatenate(found))
-    return pairs & ((1 << BITS) - 1), np.bincount(pairs >> BITS, minlength=len(words))
+            if wanted is not None:
+                inside &= wanted[bucket]
+            found.append((word[:m][inside] << BITS) | bucket[inside])
+    return np.unique(np.concatenate(found))
 
 
 @dataclass
@@ -70,14 +73,15 @@ class Model:
     constant: float | None = None
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        grams, counts = word_grams(words)
-        total = np.concatenate(([0.0], np.cumsum(self.weights[grams], dtype=np.float64)))
-        ends = np.cumsum(counts)
-        return total[ends] - total[ends - counts]
+        """What each word adds to the log-odds: the weights of its n-grams, each once."""
+        pairs = word_grams(words, self.weights != 0)
+        grams, word = pairs & ((1 << BITS) - 1), pairs >> BITS
+        return np.bincount(word, self.weights[grams].astype(np.float64), len(words))
 
 
-def fit(texts: list[set[str]], labels: list[int], *, rounds: int = 150, ridge: float = 1e-4, alpha: float = 1.0, errors: float = 4.0) -> Model:
-    """Fit on sets of words.
+def fit(texts: list[set[str]], labels: list[int], *, share_toxic: float | None = None, rounds: int = 150, ridge: float = 1e-4, alpha: float = 1.0, errors: float = 3.5) -> Model:
+    """Fit on sets of words. The classes weigh as in ``share_toxic``, the share of toxic ones among all labelled rows (by default
+    among these), which is where the intercept starts.
 
     n-grams whose ratio is within ``errors`` standard errors of 0 have no weight: in a text of thousands of clean
     words their chance ratios would add up to more than a few toxic words.
@@ -94,9 +98,9 @@ def fit(texts: list[set[str]], labels: list[int], *, rounds: int = 150, ridge: f
     doc, word = doc[order], word[order]
     grams, owner = [], []
     for at in range(0, len(words), 20_000):  # in parts, for memory
-        some, counts = word_grams(words[at : at + 20_000])
-        grams.append(some.astype(np.int32))
-        owner.append(np.repeat(np.arange(at, at + len(counts), dtype=np.int32), counts))
+        pairs = word_grams(words[at : at + 20_000])
+        grams.append((pairs & ((1 << BITS) - 1)).astype(np.int32))
+        owner.append((at + (pairs >> BITS)).astype(np.int32))
     grams, owner = np.concatenate(grams), np.concatenate(owner)
     first = np.searchsorted(owner, np.arange(len(words) + 1))
     # How many training texts of each class have each n-gram, a text counted once.
@@ -114,9 +118,10 @@ def fit(texts: list[set[str]], labels: list[int], *, rounds: int = 150, ridge: f
     keep = ratio[grams] != 0
     grams, owner = grams[keep], owner[keep]
     value = ratio[grams]
-    w, b = np.zeros(1 << BITS), 0.0
+    prior = float(np.clip(y.mean() if share_toxic is None else share_toxic, 1e-6, 1 - 1e-6))
+    w, b = np.zeros(1 << BITS), math.log(prior / (1 - prior))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    share = np.where(y > 0, prior / y.sum(), (1 - prior) / (len(y) - y.sum()))
     for step in range(1, rounds + 1):
         each = np.bincount(owner, value * w[grams], len(words))
         z = b + np.bincount(doc, each[word], len(texts))
@@ -131,9 +136,10 @@ def fit(texts: list[set[str]], labels: list[int], *, rounds: int = 150, ridge: f
     return Model((w * ratio).astype(np.float32), float(b))
 
 
-def sample(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, per_class: int, held_out: Column) -> tuple[list[set[str]], list[int]]:
-    """The words of the training texts, on the driver: at most ``per_class`` texts of each class."""
+def sample(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, per_class: int, held_out: Column) -> tuple[list[set[str]], list[int], float]:
+    """The words and labels of the training texts, on the driver, at most ``per_class`` of each class; and the share of toxic ones among all."""
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out).select(F.col(id_col).cast("long").alias("k"), F.col(label_col).cast("int").alias("label")).distinct()
+    counts = {r.label: r["count"] for r in usable.groupBy("label").count().collect()}
     of = lambda c: usable.where(F.col("label") == c).orderBy(F.xxhash64("k"), "k").limit(per_class)
     chosen = of(1).unionAll(of(0))
     texts = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "k")
@@ -143,7 +149,7 @@ def sample(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, la
             yield pa.RecordBatch.from_arrays([b.column("k"), b.column("label"), pa.array([" ".join(sorted(distinct_words(t))) for t in b.column("text").to_pylist()], pa.string())], names=["k", "label", "words"])
 
     rows = sorted(tuple(r) for r in texts.mapInArrow(words, "k long, label int, words string").collect())
-    return [set(r[2].split()) for r in rows], [r[1] for r in rows]
+    return [set(r[2].split()) for r in rows], [r[1] for r in rows], counts.get(1, 0) / max(1, sum(counts.values()))
 
 
 class Scorer:
@@ -161,7 +167,7 @@ class Scorer:
             cache.clear()
             unseen = list(set().union(*sets))
         cache.update(zip(unseen, self.model.word_scores(unseen).tolist(), strict=True))
-        z = np.array([self.model.intercept + sum(sorted(map(cache.__getitem__, s))) for s in sets])
+        z = np.array([self.model.intercept + math.fsum(map(cache.__getitem__, s)) for s in sets])
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -193,7 +199,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     """``held_out``: a condition on the labels' rows that are never learnt from (by default those whose crc32 of the id mod 5 is 0)."""
     if held_out is None:
         held_out = doc_crc(F.col(id_col)) % 5 == 0
-    return fit(*sample(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, per_class=per_class, held_out=held_out))
+    texts, classes, share = sample(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, per_class=per_class, held_out=held_out)
+    return fit(texts, classes, share_toxic=share)
 
 
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,8 +91,11 @@ def cogroup(inputs: dict[str, DataFrame], keys, policy: str | Sequence[bool] = "
         left_needed, right_needed = any(must[:at]), must[at]
         how = "inner" if left_needed and right_needed else "left" if left_needed else "right" if right_needed else "full"
         out = out.join(right, on, how)
-        here = F.coalesce("_any", F.lit(False))
-        out = out.withColumns({f"_key_{i}": F.when(here, F.col(f"_key_{i}")).otherwise(F.col(f"_{name}_key_{i}")) for i in range(n_keys)})
+        if how == "right":
+            out = out.withColumns({f"_key_{i}": F.col(f"_{name}_key_{i}") for i in range(n_keys)})
+        elif how == "full":  # by presence: a key may be null on a side that is there
+            here = F.coalesce("_any", F.lit(False))
+            out = out.withColumns({f"_key_{i}": F.when(here, F.col(f"_key_{i}")).otherwise(F.col(f"_{name}_key_{i}")) for i in range(n_keys)})
         out = out.withColumn("_any", F.lit(True))
     present = {f"{n}_present": F.coalesce(f"{n}_present", F.lit(False)) for n in names}
     out = out.withColumns(present)

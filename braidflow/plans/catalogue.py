@@ -104,10 +104,10 @@ def ordered_sink(spark, sf_dir):
     return tap.read(spark)
 
 
-@query("select event_id from events where event_id % 10 != 0")
+@query("select event_id from events where event_type != 'error'")
 def source_trap_good(spark, sf_dir):
     at = scratch(spark, "bad")
-    mixed = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("bad"), F.col("event_id"))).otherwise(F.col("event_id").cast("string")).alias("event_id"))
+    mixed = table(spark, sf_dir, "events").select(F.when(F.col("event_type") == "error", F.concat(F.lit("bad"), F.col("event_id"))).otherwise(F.col("event_id").cast("string")).alias("event_id"))
     taps.TextDelimited(at).write(mixed)
     return taps.TextDelimited(at, schema="event_id bigint").read_trapped(spark).good
 
@@ -166,14 +166,14 @@ def udtf_tokens(spark, sf_dir):
     return spark.sql("select c.conv_id, c.turn, t.token from {turns} c, lateral braidflow_tokens(c.text) t", turns=turns)
 
 
-@query("select event_id, length(event_type) as n from events where event_id % 2 = 0")
+@query("select event_id, length(event_type) as n from events where value > 50")
 def opaque_map(spark, sf_dir):
     def f(frames):
         for x in frames:
-            x = x[x.event_id % 2 == 0]
+            x = x[x.value > 50]
             yield pd.DataFrame({"event_id": x.event_id, "n": x.event_type.str.len()})
 
-    return rows.opaque(table(spark, sf_dir, "events"), f, "event_id long, n long", ["event_id", "event_type"])
+    return rows.opaque(table(spark, sf_dir, "events"), f, "event_id long, n long", ["event_id", "event_type", "value"])
 
 
 @query("select o_orderkey, o_totalprice from orders")
@@ -182,29 +182,29 @@ def assert_level(spark, sf_dir):
     return rows.assert_that(checked, "false", level=rows.Level.STRICT, configured=rows.Level.VALID).select("o_orderkey", "o_totalprice")
 
 
-@query("select event_id from events where event_id % 10 != 0")
+@query("select event_id from events where event_type != 'error'")
 def trap_good(spark, sf_dir):
     return _trapped(spark, sf_dir).good.select("event_id")
 
 
-@query("select event_id, 'numeric' as trap_reason from events where event_id % 10 = 0")
+@query("select event_id, 'numeric' as trap_reason from events where event_type = 'error'")
 def trap_bad(spark, sf_dir):
     return _trapped(spark, sf_dir).bad.select("event_id", "trap_reason")
 
 
 def _trapped(spark, sf_dir):
-    events = rows.each(table(spark, sf_dir, "events"), k="case when event_id % 10 = 0 then 'bad' else get_json_object(props, '$.k') end")
+    events = rows.each(table(spark, sf_dir, "events"), k="case when event_type = 'error' then 'bad' else get_json_object(props, '$.k') end")
     return trap(events, numeric="try_cast(k as bigint) is not null")
 
 
-@query("select event_id, 'ValueError: even' as trap_reason from events where event_id % 2 = 0")
+@query("select event_id, 'ValueError: error' as trap_reason from events where event_type = 'error'")
 def trap_opaque(spark, sf_dir):
     def f(row):
-        if row["event_id"] % 2 == 0:
-            raise ValueError("even")
+        if row["event_type"] == "error":
+            raise ValueError("error")
         return [row]
 
-    return trapped_map(table(spark, sf_dir, "events").select("event_id"), f, "event_id long").bad.select("event_id", "trap_reason")
+    return trapped_map(table(spark, sf_dir, "events").select("event_id", "event_type"), f, "event_id long, event_type string").bad.select("event_id", "trap_reason")
 
 
 @query("select r_regionkey::bigint as r_regionkey, r_name from region")
@@ -222,10 +222,10 @@ def merge_bag(spark, sf_dir):
 
 
 @query("""select o_orderkey from orders where o_totalprice > 100000 union all select o_orderkey from orders where o_orderstatus = 'F'
-          union all select o_orderkey from orders where o_custkey % 2 = 0""")
+          union all select o_orderkey from orders where o_orderpriority = '1-URGENT'""")
 def merge_three_dups(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    branches = sets.split(o, dear="o_totalprice > 100000", finished="o_orderstatus = 'F'", even="o_custkey % 2 = 0")
+    branches = sets.split(o, dear="o_totalprice > 100000", finished="o_orderstatus = 'F'", urgent="o_orderpriority = '1-URGENT'")
     return sets.merge(*[b.select("o_orderkey") for b in branches.values()])
 
 
@@ -291,9 +291,9 @@ def group_reversed(spark, sf_dir):
     return group_by(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], reverse=True).top(1).select("user_id", "event_id", "event_type")
 
 
-@query("select max(role) as role, count(*) as n from (select case when conv_id % 2 = 0 then upper(role) else role end as role from conversations) t group by lower(role)")
+@query("select max(role) as role, count(*) as n from (select case when turn = 1 then upper(role) else role end as role from conversations) t group by lower(role)")
 def group_comparator(spark, sf_dir):
-    mixed = table(spark, sf_dir, "conversations").select(F.expr("case when conv_id % 2 = 0 then upper(role) else role end").alias("role"))
+    mixed = table(spark, sf_dir, "conversations").select(F.expr("case when turn = 1 then upper(role) else role end").alias("role"))
     return group_by(mixed, "role", comparators={"role": fn.ignoring_case}).every(n="count(*)", shown="max(role)").select(F.col("shown").alias("role"), "n")
 
 
@@ -336,13 +336,13 @@ def total_sort_parts(spark, sf_dir):
 
 # --- co-groups ---
 
-_ORDERS = "(select o_orderkey as k, o_custkey as cust from orders where o_orderkey % 3 != 0)"
-_LINES = "(select l_orderkey as k, count(*) as n from lineitem where l_orderkey % 3 != 1 group by 1)"
+_ORDERS = "(select o_orderkey as k, o_custkey as cust from orders where o_orderpriority != '1-URGENT')"
+_LINES = "(select l_orderkey as k, count(*) as n from lineitem where l_returnflag = 'R' group by 1)"
 
 
 def _sides(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where("o_orderkey % 3 != 0").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("cust"))
-    lines = count_by(table(spark, sf_dir, "lineitem").where("l_orderkey % 3 != 1").select(F.col("l_orderkey").alias("k")), "k", "n")
+    orders = table(spark, sf_dir, "orders").where("o_orderpriority != '1-URGENT'").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("cust"))
+    lines = count_by(table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("k")), "k", "n")
     return {"o": orders, "l": lines}
 
 
@@ -359,9 +359,9 @@ def _cogroup(policy: str):
 cogroup_inner, cogroup_left, cogroup_right, cogroup_full = map(_cogroup, ("inner", "left", "right", "full"))
 
 _THREE = """
-with a as (select nullif(c_custkey, 7) as k, c_nationkey as v from customer where c_custkey % 3 != 0),
-b as (select nullif(c_custkey, 7) as k, c_custkey as v from customer where c_custkey % 3 != 1 or c_custkey = 7),
-c as (select nullif(c_custkey, 7) as k, c_custkey + 1 as v from customer where c_custkey % 5 != 0),
+with a as (select nullif(c_custkey, 7) as k, c_nationkey as v from customer where c_mktsegment != 'BUILDING' or c_custkey = 7),
+b as (select nullif(c_custkey, 7) as k, c_custkey as v from customer where c_acctbal > 2000 or c_custkey = 7),
+c as (select nullif(c_custkey, 7) as k, c_custkey + 1 as v from customer where c_acctbal < 6000),
 ab as (select case when a.p then a.k else b.k end as k, true as p, a.p as ap, b.p as bp, a.k as a_k, a.v as a_v, b.k as b_k, b.v as b_v
   from (select *, true as p from a) a full join (select *, true as p from b) b on a.k is not distinct from b.k),
 abc as (select case when ab.p then ab.k else c.k end as _key_0, a_k, a_v, b_k, b_v, c.k as c_k, c.v as c_v,
@@ -373,9 +373,9 @@ select * from abc """
 def _three(spark, sf_dir):
     c = table(spark, sf_dir, "customer").withColumn("k", F.expr("nullif(c_custkey, 7)"))
     return {
-        "a": c.where("c_custkey % 3 != 0").select("k", F.col("c_nationkey").alias("v")),
-        "b": c.where("c_custkey % 3 != 1 or c_custkey = 7").select("k", F.col("c_custkey").alias("v")),
-        "c": c.where("c_custkey % 5 != 0").select("k", (F.col("c_custkey") + 1).alias("v")),
+        "a": c.where("c_mktsegment != 'BUILDING' or c_custkey = 7").select("k", F.col("c_nationkey").alias("v")),
+        "b": c.where("c_acctbal > 2000 or c_custkey = 7").select("k", F.col("c_custkey").alias("v")),
+        "c": c.where("c_acctbal < 6000").select("k", (F.col("c_custkey") + 1).alias("v")),
     }
 
 
@@ -400,12 +400,11 @@ def cogroup_self(spark, sf_dir):
     return joins.self_join(table(spark, sf_dir, "nation"), 2, "n_regionkey")
 
 
-@query("""with k as (select o_orderkey, nullif(o_orderkey % 1000, 3) as k from orders)
-          select a.k as _key_0, a.o_orderkey as a_o_orderkey, a.k as a_k, b.o_orderkey as b_o_orderkey, b.k as b_k
-          from (select * from k where o_orderkey <= 2000) a join (select * from k where o_orderkey > 2000 and o_orderkey <= 5000) b on a.k is not distinct from b.k""")
+@query("""with o as (select o_orderkey, nullif(o_custkey, 3) as k from orders), c as (select c_name, nullif(c_custkey, 3) as k from customer)
+          select o.k as _key_0, o.o_orderkey as o_o_orderkey, o.k as o_k, c.c_name as c_c_name, c.k as c_k from o join c on o.k is not distinct from c.k""")
 def cogroup_null_keys(spark, sf_dir):
-    k = table(spark, sf_dir, "orders").select("o_orderkey", F.expr("nullif(o_orderkey % 1000, 3)").alias("k"))
-    return joins.cogroup({"a": k.where("o_orderkey <= 2000"), "b": k.where("o_orderkey > 2000 and o_orderkey <= 5000")}, "k")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.expr("nullif(o_custkey, 3)").alias("k"))
+    return joins.cogroup({"o": o, "c": table(spark, sf_dir, "customer").select("c_name", F.expr("nullif(c_custkey, 3)").alias("k"))}, "k")
 
 
 @query("select r_regionkey as r_r_regionkey, r_name as r_r_name, n_nationkey as n_n_nationkey, n_name as n_n_name, n_regionkey as n_n_regionkey from region, nation")
@@ -423,7 +422,7 @@ def cogroup_every(spark, sf_dir):
 
 
 @query("""select o.k, l.n, coalesce(o.k, -1) * 10 + coalesce(l.n, 0) as mixed, case when o.k is null then 'l' when l.k is null then 'o' else 'ol' end as sides
-          from (select o_orderkey as k from orders where o_orderkey % 3 != 0) o full join (select l_orderkey as k, count(*) as n from lineitem where l_orderkey % 3 != 1 group by 1) l on o.k = l.k""")
+          from (select o_orderkey as k from orders where o_orderpriority != '1-URGENT') o full join (select l_orderkey as k, count(*) as n from lineitem where l_returnflag = 'R' group by 1) l on o.k = l.k""")
 def custom_joiner(spark, sf_dir):
     def f(frames):
         for x in frames:
@@ -449,15 +448,15 @@ def hashjoin_left(spark, sf_dir):
     return joins.hash_join(inputs, "doc_id", "left")
 
 
-_BY_NATION = """with c as (select c_nationkey as k, count(*) as n from customer where c_nationkey % 2 = 0 group by 1),
-s as (select s_nationkey as k, count(*) as n from supplier where s_nationkey % 3 != 0 group by 1)
+_BY_NATION = """with c as (select c_nationkey as k, count(*) as n from customer where c_acctbal > 9000 group by 1),
+s as (select s_nationkey as k, count(*) as n from supplier where s_acctbal < 5000 group by 1)
 select n.n_nationkey as _key_0, n.n_nationkey as n_k, n.n_name as n_n_name, c.k as c_k, c.n as c_n, s.k as s_k, s.n as s_n from nation n """
 
 
 def _by_nation(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), "n_name")
-    c = count_by(table(spark, sf_dir, "customer").where("c_nationkey % 2 = 0").select(F.col("c_nationkey").alias("k")), "k", "n")
-    s = count_by(table(spark, sf_dir, "supplier").where("s_nationkey % 3 != 0").select(F.col("s_nationkey").alias("k")), "k", "n")
+    c = count_by(table(spark, sf_dir, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("k")), "k", "n")
+    s = count_by(table(spark, sf_dir, "supplier").where("s_acctbal < 5000").select(F.col("s_nationkey").alias("k")), "k", "n")
     return {"n": n, "c": c, "s": s}
 
 
@@ -486,14 +485,14 @@ def hashjoin_cross(spark, sf_dir):
 
 
 @query("""select coalesce(c.k, o.k) as k, coalesce(c.n, 0) as n_left, coalesce(o.n, 0) as n_right
-          from (select c_custkey as k, count(*) as n from customer where c_custkey % 3 != 0 group by 1) c
-          full join (select o_custkey as k, count(*) as n from orders where o_custkey % 3 != 1 group by 1) o on c.k = o.k""")
+          from (select c_custkey as k, count(*) as n from customer where c_mktsegment != 'BUILDING' group by 1) c
+          full join (select o_custkey as k, count(*) as n from orders where o_orderstatus = 'F' group by 1) o on c.k = o.k""")
 def bufferjoin_counts(spark, sf_dir):
     def f(key, first, others):
         return pd.DataFrame({"k": [key[0]], "n_left": [sum(map(len, first))], "n_right": [len(others[0])]})
 
-    c = table(spark, sf_dir, "customer").where("c_custkey % 3 != 0").select(F.col("c_custkey").alias("k"))
-    o = table(spark, sf_dir, "orders").where("o_custkey % 3 != 1").select(F.col("o_custkey").alias("k"))
+    c = table(spark, sf_dir, "customer").where("c_mktsegment != 'BUILDING'").select(F.col("c_custkey").alias("k"))
+    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k"))
     return joins.buffer_join({"c": c, "o": o}, "k", f, "k long, n_left long, n_right long")
 
 

@@ -142,6 +142,13 @@ def test_join_plans(abc):
         joins.cross(ab, limit=0)
 
 
+def test_chained_joins_and_groups_share_a_partitioning(abc):
+    merge = {n: x.hint("merge") for n, x in abc.items()}
+    chain = joins.cogroup(merge, "k", keys_not_null=True)
+    assert plan(count_by(chain, "_key_0")).count("Exchange hashpartitioning") == 3
+    assert plan(joins.cogroup(merge, "k", "left", keys_not_null=True)).count("Exchange hashpartitioning") == 3
+
+
 def test_semi_and_anti_match_nulls(abc):
     assert values(joins.semi(abc["a"], abc["b"], "k")) == [(1, "a1"), (None, "an")]
     assert values(joins.semi(abc["a"], abc["b"], "k", anti=True)) == [(2, "a2")]

@@ -41,9 +41,9 @@ from braidflow.llm.common import batch, doc_crc, pieces, settled, text_bytes
 BLOCK_TOKENS = 4_000_000
 CLASSES = 1023
 WIDTH = 24
-NOISE = 48
+NOISE = 64
 ROUNDS = 1
-MINI_BATCH = 8192
+MINI_BATCH = 2048
 #: Stands for the end of a text; no word can hold it.
 END = b"\n"
 
@@ -175,7 +175,7 @@ def _sum_rows(keys: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 class Trainer:
     """Noise-contrastive estimation by mini-batches, with AdaGrad."""
 
-    def __init__(self, model: Model, noise: int = NOISE, rate: float = 0.1, seed: int = 1):
+    def __init__(self, model: Model, noise: int = NOISE, rate: float = 0.08, seed: int = 1):
         self.m, self.k, self.rate, self.rng = model, noise, rate, np.random.default_rng(seed)
         self.sums = {k: np.full_like(getattr(model, k), 0.1) for k in Model.NAMES}
         self.cumulative = np.cumsum(model.noise)
@@ -213,7 +213,7 @@ def contexts(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarra
     return x, y, w
 
 
-def trained(texts: DataFrame, model: Model) -> None:
+def trained(texts: DataFrame, model: Model, rate: float = 0.08) -> None:
     """One round: each task trains a copy on its texts, and the copies are averaged by tokens seen."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("part", pa.int64()), ("n", pa.int64()), ("flat", pa.binary())])
@@ -221,12 +221,12 @@ def trained(texts: DataFrame, model: Model) -> None:
     def local(batches):
         own, unpress, seen = Model(shared.value.noise, shared.value.inp.shape[1]), zstandard.ZstdDecompressor(), 0
         own.load(shared.value.flat())
-        trainer, held, size = Trainer(own), [], 0
+        trainer, held, size = Trainer(own, rate=rate), [], 0
         for b in batches:
             for raw in b.column(0).to_pylist():
                 held.append(np.frombuffer(unpress.decompress(raw), np.uint16))
                 size += len(held[-1])
-                if size >= 64 * MINI_BATCH:
+                if size >= 256 * MINI_BATCH:
                     seen += _epoch(trainer, held)
                     held, size = [], 0
         if held:
@@ -303,8 +303,8 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
     texts = settled(classed(blocks.where("token is null").select("block", "doc_id", "train", "ids"), found, total, distinct, tail_total, tail_distinct, len(top)), "classes")
     shares = np.array([r.c for r in top] + [tail_total + 1], float)
     model = Model(shares / shares.sum(), width)
-    for _ in range(rounds):
-        trained(texts, model)
+    for i in range(rounds):
+        trained(texts, model, 0.08 / (1 + i))
     result = scores(texts, model)
     return result.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -43,7 +43,7 @@ TREES = 32
 DEPTH = 12
 RECALL = 0.999
 #: Shingles (and 400 for each text) in one block of a candidate group.
-BLOCK = 1_000_000
+BLOCK = 400_000
 TEXT_WEIGHT = 400
 
 _SKETCH = "doc_id long, f1 long, f2 long, n long, keys array<long>"

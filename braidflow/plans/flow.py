@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
+from braidflow.operators.grouping import Grouped
 from braidflow.operators.rows import Level
 from braidflow.plans.config import Config
 from braidflow.plans.counters import Counters
@@ -106,6 +107,11 @@ class Flow:
             raise FlowError(f"the assembly has nothing for {sorted(missing)}")
         if loose := set(out) - wanted:
             raise FlowError(f"{sorted(loose)} lead nowhere")
+        for n, df in out.items():
+            if isinstance(df, Grouped):
+                raise FlowError(f"{n} gets a group without an aggregator or a buffer")
+            if not isinstance(df, DataFrame):
+                raise FlowError(f"{n} gets a {type(df).__name__}, not a dataset")
         return out, context
 
     def preview(self, spark: SparkSession, mode: str = "formatted") -> dict[str, str]:
@@ -125,18 +131,20 @@ class Flow:
             if tap.mode is SinkMode.REPLACE:
                 tap.delete(spark)
         with self.config.held(spark):
-            spark.addTag(self.tag)
+            spark.sparkContext.addJobTag(self.tag)
+            spark.sparkContext.setInterruptOnCancel(True)
             context = None
             try:
                 out, context = self._plan(spark)
                 for n, tap in [*self.sinks.items(), *self.traps.items()]:
                     tap.write(out[n], ordered=n in self.ordered)
             finally:
-                spark.removeTag(self.tag)
+                spark.sparkContext.removeJobTag(self.tag)
+                spark.sparkContext.setInterruptOnCancel(False)
                 for df in context.kept if context else ():
                     df.unpersist()
         return Stats(time.time() - began, context.counters.values(), {n: tap.statistics(spark) for n, tap in self.sinks.items()})
 
     def cancel(self, spark: SparkSession) -> None:
         """Stop this flow's jobs, from another thread."""
-        spark.interruptTag(self.tag)
+        spark.sparkContext.cancelJobsWithTag(self.tag)

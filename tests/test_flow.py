@@ -1,3 +1,6 @@
+import threading
+import time
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -64,6 +67,39 @@ def test_validation(spark, numbers, tmp_path):
         Flow("f", {"n": numbers}, {"o": out}, lambda i, c: {"o": i["n"], "p": i["n"]}).run(spark)
 
 
+def test_a_group_alone_is_no_result(spark, numbers, tmp_path):
+    flow = Flow("f", {"n": numbers}, {"o": taps.parquet(str(tmp_path / "o"))}, lambda i, c: {"o": group_by(i["n"], "k")})
+    with pytest.raises(FlowError, match="without an aggregator"):
+        flow.run(spark)
+
+
+def test_cancel_from_another_thread(spark, numbers, tmp_path):
+    started = threading.Event()
+
+    def assembly(inputs, context):
+        def slow(frames):
+            for x in frames:
+                time.sleep(60)
+                yield x
+
+        started.set()
+        return {"o": inputs["n"].mapInPandas(slow, inputs["n"].schema)}
+
+    flow = Flow("f", {"n": numbers}, {"o": taps.parquet(str(tmp_path / "o"))}, assembly)
+
+    def stop():
+        started.wait()
+        for _ in range(40):
+            time.sleep(0.5)
+            flow.cancel(spark)
+
+    threading.Thread(target=stop, daemon=True).start()
+    began = time.time()
+    with pytest.raises(Exception):  # noqa: B017  whatever Spark raises for a cancelled job
+        flow.run(spark)
+    assert time.time() - began < 50
+
+
 def test_source_parts_and_settings(spark, numbers, tmp_path):
     seen = {}
 

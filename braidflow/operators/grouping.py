@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from braidflow.fields import NONE, FieldError, resolve
 from braidflow.functions import expression
 from braidflow.operators.sets import merge
-from braidflow.operators.streams import as_batches, by_group
+from braidflow.operators.streams import as_batches, by_group, frames_of
 
 
 def _order(spec: str | tuple[str, bool], reverse: bool) -> Column:
@@ -102,11 +102,12 @@ class Grouped:
         lead = [F.col(n).desc_nulls_last() if self.reverse else F.col(n).asc_nulls_first() for n in names]
         order = lead + [_order(s, self.reverse) for s in self.sort]
         rows = dealt.sortWithinPartitions(*order) if order else dealt
-        drop = list(names)
+        def prepare(b):
+            frame = (b.drop_columns(names) if names else b).to_pandas()
+            return lambda a, z: frame.iloc[a:z]
 
         def run(batches):
-            frames = lambda slices: (b.drop_columns(drop).to_pandas() if drop else b.to_pandas() for b in slices)
-            yield from by_group(batches, names, lambda key, slices: as_batches(f(key, frames(slices)), target))
+            return as_batches(by_group(batches, names, prepare, lambda key, frames: frames_of(f(key, frames))), target)
 
         return rows.mapInArrow(run, schema)
 

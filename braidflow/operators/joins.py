@@ -11,14 +11,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from braidflow.fields import NONE, FieldError, resolve
-from braidflow.operators.streams import as_batches, by_group
+from braidflow.operators.streams import as_batches, by_group, frames_of
 
 #: Bytes of an input, by Spark's own estimate, up to which it may be sent whole to every executor.
 BROADCAST_LIMIT = 64 << 20
@@ -186,38 +188,37 @@ def buffer_join(inputs: dict[str, DataFrame], keys, f: Buffer, schema: str | Str
     dealt = rows.repartition(*key_names) if key_names else rows.repartition(1)
     ordered = dealt.sortWithinPartitions(*key_names, F.desc("_ord"))
     target = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
-    empty = {n: to_arrow_schema(whole[n]).empty_table().to_pandas() for n in names}
+    empty = [to_arrow_schema(whole[n]).empty_table().to_pandas() for n in names]
+
+    def prepare(b):
+        """Each side's rows of the batch as a frame of its own types; a slice is one frame for each side in it, last side first."""
+        sides = b.column("_ord").to_numpy()
+        frames, before = {}, {}
+        for i in np.unique(sides):
+            own = sides == i
+            column = b.column(f"_in_{names[i]}").filter(pa.array(own))
+            frames[i] = pa.Table.from_arrays(column.flatten(), names=[f.name for f in column.type]).to_pandas()
+            before[i] = np.concatenate(([0], np.cumsum(own)))
+        return lambda a, z: [(i, frames[i].iloc[before[i][a] : before[i][z]]) for i in sorted(frames, reverse=True) if before[i][z] > before[i][a]]
 
     def run(batches):
         def one(key, slices):
             held: dict[int, list[pd.DataFrame]] = {i: [] for i in range(1, len(names))}
-            slices = iter(slices)
             ahead: list[pd.DataFrame] = []
-            frame = lambda b, i: pd.DataFrame(b.column(f"_in_{names[i]}").to_pylist(), columns=inputs_columns[i]).astype(empty[names[i]].dtypes.to_dict(), errors="ignore")
-            for b in slices:
-                for own_key, part in _by_side(b):
-                    (ahead if own_key == 0 else held[own_key]).append(frame(part, own_key))
+            for part in slices:
+                for i, frame in part:
+                    (held[i] if i else ahead).append(frame)
                 if ahead:
                     break
 
             def first():
                 yield from ahead
-                for b in slices:
-                    yield frame(b, 0)
+                for part in slices:
+                    yield from (frame for _, frame in part)
 
-            others = [pd.concat(held[i], ignore_index=True) if held[i] else empty[names[i]] for i in range(1, len(names))]
-            return as_batches(f(key, first(), others), target)
+            others = [(x[0] if len(x) == 1 else pd.concat(x, ignore_index=True)) if (x := held[i]) else empty[i] for i in range(1, len(names))]
+            return frames_of(f(key, first(), others))
 
-        yield from by_group(batches, key_names, one)
+        return as_batches(by_group(batches, key_names, prepare, one), target)
 
-    inputs_columns = [inputs[n].columns for n in names]
     return ordered.mapInArrow(run, schema)
-
-
-def _by_side(b):
-    sides = b.column("_ord").to_pylist()
-    at = 0
-    for i in range(1, len(sides) + 1):
-        if i == len(sides) or sides[i] != sides[at]:
-            yield sides[at], b.slice(at, i - at)
-            at = i

@@ -17,7 +17,8 @@ Vectors that are null, empty of components, or hold a null or non-finite
 component take no part, neither as query nor as candidate; so do vectors whose
 length is not the most frequent one (of equals, the longer) and null ids. A query's own row is every
 row with its id. Ties go to the smaller id; rows that repeat an id each count.
-Fewer than k candidates give fewer rows. An empty table gives no rows.
+Fewer than k candidates give fewer rows. An empty table gives no rows. Components
+or scores that do not fit in 64 bits raise.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from braidflow.llm.common import batch, settled
 
 BITS = 8
-QUERY_BLOCK = 2048
+QUERY_BLOCK = 8192
 CANDIDATE_BLOCK = 65_536
 #: Exact vectors read at a time for one query.
 STEP = 16
@@ -65,7 +66,7 @@ def best_in_block(queries: np.ndarray, query_ids: np.ndarray, codes: np.ndarray,
     shift = q @ (low + (width - 1) / 2)
     grown = codes.astype(np.float64)
     # Integer products are exact in doubles up to 2**53; beyond that, and for the bounds' own rounding, widen and use integers.
-    largest = float(np.abs(q).max(initial=0)) * float(max(np.abs(exact).max(initial=0), 1)) * queries.shape[1]
+    largest = float(np.abs(q).max(initial=0)) * float(max(np.abs(exact.astype(np.float64)).max(initial=0), 1)) * queries.shape[1]
     whole = largest < 2**62
     radius = radius + 1e-9 * (np.abs(q) @ (np.abs(low) + width * (1 << 16))) + 1e-6
     for at in range(0, len(q), 256):
@@ -86,7 +87,7 @@ def best_in_block(queries: np.ndarray, query_ids: np.ndarray, codes: np.ndarray,
                 kth = -best[k - 1][0] if len(best) >= k else None
                 if kth is not None and upper[now[0]] < kth:
                     break
-                scores = (exact[now] if whole else exact[now].astype(object)) @ row
+                scores = exact[now].astype(np.int64 if whole else object) @ row
                 best = sorted(best + [(-int(s), int(ids[j])) for s, j in zip(scores, now, strict=True)])[:k]
                 seen += STEP
                 if seen >= len(order) and len(order) < len(upper):  # the rest, as the bounds have not yet settled it
@@ -105,6 +106,8 @@ def search(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_i
     rows = integers(vectors, id_col, vector_col, scale)
     low, width = cells(rows, bits)
     n, queries = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
+    ends = np.concatenate((low, low + width * (1 << bits)))
+    kind = next(t for t in (np.int16, np.int32, np.int64) if t is np.int64 or not len(ends) or np.abs(ends).max() < np.iinfo(t).max)
     left, right = max(1, -(-queries // query_block)), max(1, -(-n // candidate_block))
     size = len(low)
     file_schema = pa.schema([("block", pa.int64()), ("id", pa.int64()), ("codes", pa.binary()), ("exact", pa.binary())])
@@ -113,7 +116,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_i
         for b in batches:
             v = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, size)
             codes = np.clip((v - low) // width, 0, (1 << bits) - 1).astype(np.uint8 if bits <= 8 else np.uint16)
-            yield batch(file_schema, block=b.column("block"), id=b.column("id"), codes=[x.tobytes() for x in codes], exact=[x.tobytes() for x in v.astype(np.int64)])
+            yield batch(file_schema, block=b.column("block"), id=b.column("id"), codes=[x.tobytes() for x in codes], exact=[x.tobytes() for x in v.astype(kind)])
 
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(right)))
     file = settled(blocked.select("block", "id", "v").mapInArrow(approximate, "block long, id long, codes binary, exact binary"), "va-file")
@@ -126,7 +129,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_i
         if one.num_rows and two.num_rows:
             q = np.array(one.column("q").to_pylist(), np.int64).reshape(one.num_rows, size)
             codes = np.frombuffer(b"".join(two.column("codes").to_pylist()), np.uint8 if bits <= 8 else np.uint16).reshape(-1, size)
-            exact = np.frombuffer(b"".join(two.column("exact").to_pylist()), np.int64).reshape(-1, size)
+            exact = np.frombuffer(b"".join(two.column("exact").to_pylist()), kind).reshape(-1, size)
             found = best_in_block(q, one.column("q_id").to_numpy(), codes, exact, two.column("id").to_numpy(), low, width, k)
         return pa.Table.from_batches([batch(_FOUND_ARROW, query_id=[x[0] for x in found], vec_id=[x[1] for x in found], score=[x[2] for x in found])])
 

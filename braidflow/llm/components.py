@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from braidflow.llm.common import settled
 
+#: Parts in which the edges of one node are joined.
+SALTS = 8
+
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo")), F.sum("lo").cast("string")).first())
@@ -23,8 +26,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     before = _mark(now)
     while before[0]:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").where("v != m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        # Where an edge's lower end has a lower neighbour, the upper end moves there. The lower end of many edges, the
+        # centre of a star, is joined in as many parts as there are salts; only nodes that moved are repeated for that.
+        moved = both.groupBy("u").agg(F.min("v").alias("m")).where("m < u").select(F.col("u").alias("lo"), "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")).hint("merge")
+        salted = now.withColumn("salt", F.pmod(F.xxhash64("hi"), F.lit(SALTS)).cast("int"))
+        large = salted.join(moved, ["lo", "salt"], "left").select("hi", F.coalesce("m", "lo").alias("lo")).distinct()
         small = large.groupBy("hi").agg(F.min("lo").alias("m"))
         pulled = large.join(small, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         now = settled(pulled.unionAll(small.select("hi", F.col("m").alias("lo"))).distinct(), "edges")

@@ -52,6 +52,8 @@ TOP_DOMAINS = frozenset("com org net edu gov mil int info biz io de fr es it nl
 CALLING_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91 351 352 353 358 420 421".split())
 GIVEN_NAMES = frozenset("James Mary Robert Patricia Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen Christopher Lisa Daniel Nancy Matthew Margaret Anthony Sandra Andrew Steven Kimberly Kenneth Emily Joshua Michelle Kevin Amanda Brian Melissa George Deborah Stephanie Rebecca Sharon Laura Cynthia Hans Klaus Jürgen Wolfgang Sabine Petra Monika Ursula Pierre François Nathalie Isabelle Juan José Carmen Dolores Francisco Antonio".split())
 _NAME = re.compile(r"(?<!\w)([A-ZÀ-Þ][a-zß-ÿ]+) ([A-ZÀ-Þ][a-zß-ÿ]{2,30})(?!\w)")
+# What _NAME takes for a given name: a capital and small letters after no word character.
+_LETTERS = re.compile(r"(?<!\w)[A-ZÀ-Þ][a-zß-ÿ]+")
 
 #: Words before a span that speak for its kind, or against it.
 CUES = {
@@ -177,7 +179,7 @@ def candidates(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, i
         more += [("iban", m.start(), m.end()) for m in _IBAN.finditer(text)]
     if "=" in text or ":" in text:
         more += [("secret", m.start(1), m.end(1)) for m in _SECRET.finditer(text)]
-    if not GIVEN_NAMES.isdisjoint(text.split()):
+    if not GIVEN_NAMES.isdisjoint(_LETTERS.findall(text)):
         more += [("name", m.start(), m.end()) for m in _NAME.finditer(text) if m[1] in GIVEN_NAMES]
     if len(taken) > 64 and more:  # many spans: look up neighbours only
         ends = np.maximum.accumulate([b for _, b in taken])

@@ -176,6 +176,13 @@ def test_spans(spark, odd_rows, clashing, nothing):
     assert not any("10.0.0.256" in rows[0][1][int(a) : int(b)] for _, a, b in (x.split(":") for x in found[0]))
 
 
+@pytest.mark.parametrize("text", ['contact: "James Miller" today', "(Sarah Smith) wrote", "author=James Miller", "[Jürgen Schmidt]", "seen by-José García."])
+def test_names_after_signs_are_candidates(text):
+    names = [text[a:b] for k, a, b, _ in pii.candidates(text)[1] if k == "name"]
+    assert names == re.findall(r"(?:James|Sarah|Jürgen|José) \w+", text)
+    assert "[NAME]" in pii.redact(text, frozenset(c for _, _, _, c in pii.candidates(text)[1]))
+
+
 def test_op7(spark, small):
     got = {r.doc_id: r for r in pii.op7_pii(spark, small).collect()}
     for doc, text in documents(small):

@@ -44,7 +44,7 @@ _LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][
 _SSN = re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])")
 _IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![0-9A-Za-z])")
 _SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]{1,63}){1,8}")
-_SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?([A-Za-z0-9_/+-]{16,256})")
+_SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?([A-Za-z0-9_/+-]{16,})")
 _DIGIT = re.compile("[0-9]")
 
 #: Gazetteers: top-level domains, calling codes, given names.

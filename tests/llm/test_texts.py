@@ -183,6 +183,13 @@ def test_names_after_signs_are_candidates(text):
     assert "[NAME]" in pii.redact(text, frozenset(c for _, _, _, c in pii.candidates(text)[1]))
 
 
+def test_long_secrets_are_taken_whole():
+    text = "token=" + "aB3_" * 100 + " end"
+    every = pii.candidates(text)[1]
+    assert [text[a:b] for k, a, b, _ in every if k == "secret"] == ["aB3_" * 100]
+    assert pii.redact(text, frozenset(c for _, _, _, c in every)) == "token=[SECRET] end"
+
+
 def test_op7(spark, small):
     got = {r.doc_id: r for r in pii.op7_pii(spark, small).collect()}
     for doc, text in documents(small):

@@ -8,17 +8,24 @@ end token for each text. The work goes through blocks of texts:
    not the tokens of its texts, are shuffled to be counted;
 2. the counts of all tokens over all training texts are summed, and each block
    gets back the counts of its own tokens;
-3. the ``CLASSES`` most frequent tokens are classes of their own, all others one
-   more class, within which a token has its add-one share of the counts;
-4. each task trains the model on its share of the training texts, and the
-   parameters are averaged by number of tokens (``ROUNDS`` times);
-5. scoring multiplies the distinct contexts of a batch with all output vectors,
-   so every probability is normalised exactly: over the classes by the matrix
-   product, within the last class by the counts.
+3. the ``CLASSES`` most frequent tokens are classes of their own. All others are
+   dealt by hash to S x S slots in S further classes, S the cube root of their
+   number, so that a slot has about S tokens however large the corpus is; within
+   its slot a token is a leaf;
+4. each task trains classes and contexts on its share of the training texts, and
+   the parameters are averaged by number of tokens (``ROUNDS`` times);
+5. all places where a token of one of the S classes stands meet in one task, which
+   trains vectors for the class's slots and for every single token in them, the
+   contexts being those of step 4;
+6. scoring multiplies contexts with all output vectors of a class's level, so every
+   probability is normalised exactly by matrix products: over the classes, over
+   the slots of a class and over the tokens of a slot.
 
 The model: the vector predicted from the two tokens before, ``Q[a] A + Q[b] B``,
-times a class's output vector, plus its bias. Noise words are drawn from the
-training frequencies, ``NOISE`` for each mini-batch.
+times an output vector, plus its bias. As context a frequent token has a vector of
+its own and any other that of its slot. Noise words are drawn from the training
+frequencies, ``NOISE`` for each mini-batch. A token that no training text holds is
+leaf 0 of its slot, which counts as one occurrence.
 
 Null texts are empty: the end token alone. Repeated ids: a row for each. Without
 any training text all counts are 0 and the one class has probability 1. An empty
@@ -33,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from braidflow.llm.common import batch, doc_crc, pieces, settled, text_bytes
@@ -49,8 +56,18 @@ END = b"\n"
 
 _CODED = "block long, doc_id long, train boolean, ids binary, tokens long, token binary, local int, n long"
 _CODED_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("ids", pa.binary()), ("tokens", pa.int64()), ("token", pa.binary()), ("local", pa.int32()), ("n", pa.int64())])
-_CLASSED = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, tail_score double, classes binary"
-_CLASSED_ARROW = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("tail_score", pa.float64()), ("classes", pa.binary())])
+_CLASSED = "block long, doc int, doc_id long, train boolean, n_tokens long, n_known long, base_score double, codes binary, leaves binary"
+_CLASSED_ARROW = pa.schema([("block", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("codes", pa.binary()), ("leaves", pa.binary())])
+
+
+def packed(x: np.ndarray) -> bytes:
+    """32-bit values, all their first bytes before all their second ones, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -98,36 +115,39 @@ def coded(docs: DataFrame, train: Column, id_col: str, text_col: str, block_toke
     return chosen.mapInArrow(code, _CODED)
 
 
-def classed(texts: DataFrame, words: DataFrame, total: int, distinct: int, tail_total: int, tail_distinct: int, classes: int) -> DataFrame:
-    """For each text the base score, the tail's share of the model's score, and its classes (unsigned 16-bit, packed)."""
+def classed(texts: DataFrame, words: DataFrame, total: int, distinct: int) -> DataFrame:
+    """For each text the base score, the codes of its tokens (class or, after the classes, slot) and the leaves of those in slots."""
 
-    def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        press, unpress = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    def join(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        unpress = zstandard.ZstdDecompressor()
         local = right.column("local").to_numpy()
-        count, cls = np.zeros(len(local), np.int64), np.full(len(local), classes, np.uint16)
-        count[local] = right.column("c").to_numpy()
-        cls[local] = right.column("cls").fill_null(classes).to_numpy()
-        base = np.log10((count + 1) / (total + distinct + 1))
-        tail = np.where(cls == classes, np.log10((count + 1) / (tail_total + tail_distinct + 1)), 0.0)
+        count, code, leaf = (np.zeros(len(local), t) for t in (np.int64, np.uint32, np.uint32))
+        count[local], code[local], leaf[local] = (right.column(k).to_numpy() for k in ("c", "code", "leaf"))
+        base, inside = np.log10((count + 1) / (total + distinct + 1)), np.zeros(len(local), bool)
+        inside[local] = right.column("inside").to_numpy(zero_copy_only=False)
         rows = []
-        for name, train, raw in zip(left.column("doc_id").to_pylist(), left.column("train").to_pylist(), left.column("ids").to_pylist(), strict=True):
+        for doc, (name, train, raw) in enumerate(zip(left.column("doc_id").to_pylist(), left.column("train").to_pylist(), left.column("ids").to_pylist(), strict=True)):
             ids = np.frombuffer(unpress.decompress(raw), np.uint32)
-            rows.append((name, train, len(ids), int((count[ids] > 0).sum()), float(base[ids].sum()), float(tail[ids].sum()), press.compress(cls[ids].tobytes())))
+            rows.append((key[0].as_py(), doc, name, train, len(ids), int((count[ids] > 0).sum()), float(base[ids].sum()), packed(code[ids]), packed(leaf[ids[inside[ids]]])))
         return pa.Table.from_batches([batch(_CLASSED_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_CLASSED_ARROW.names)})])
 
-    named = words.select(F.col("block").alias("of"), "local", "c", "cls")
-    return texts.groupBy("block").cogroup(named.groupBy("of")).applyInArrow(join, _CLASSED)
+    named = words.select(F.col("block").alias("of"), "local", "c", "code", "inside", "leaf")
+    return texts.groupBy("block").cogroup(named.groupBy("of")).applyInArrow(lambda key, left, right: join(key, left, right), _CLASSED)
 
 
 class Model:
-    """Parameters: input vectors (classes, the rest class and a start mark), two context matrices, output vectors, biases."""
+    """Parameters: input vectors (frequent tokens, slots and a start mark), two context matrices, output vectors, biases.
+
+    The last ``parts`` of the classes whose ``shares`` are given have ``parts`` slots each; without any, inputs are classes.
+    """
 
     NAMES = ("inp", "a", "b", "out", "bias")
 
-    def __init__(self, shares: np.ndarray, width: int = WIDTH, seed: int = 7):
+    def __init__(self, shares: np.ndarray, width: int = WIDTH, seed: int = 7, parts: int = 0):
         rng, n = np.random.default_rng(seed), len(shares)
-        self.noise = shares
-        self.inp = rng.normal(0, 0.1, (n + 1, width)).astype(np.float32)
+        self.noise, self.parts, self.top = shares, parts, n - parts
+        self.of = np.concatenate((np.arange(self.top), self.top + np.repeat(np.arange(parts), parts)))  # the class of each code
+        self.inp = rng.normal(0, 0.1, (len(self.of) + 1, width)).astype(np.float32)
         self.a = (np.eye(width) * 0.5 + rng.normal(0, 0.05, (width, width))).astype(np.float32)
         self.b = (np.eye(width) * 0.5 + rng.normal(0, 0.05, (width, width))).astype(np.float32)
         self.out = rng.normal(0, 0.1, (n, width)).astype(np.float32)
@@ -148,13 +168,7 @@ class Model:
         pairs, place = np.unique(x.astype(np.int64) * len(self.inp) + y, return_inverse=True)
         first, second = self.inp @ self.a, self.inp @ self.b
         r = first[pairs // len(self.inp)] + second[pairs % len(self.inp)]
-        norm, out = np.empty(len(pairs), np.float32), self.out.T.copy()
-        for at in range(0, len(pairs), 4096):
-            z = r[at : at + 4096] @ out
-            z += self.bias
-            top = z.max(1)
-            z -= top[:, None]
-            norm[at : at + 4096] = np.log(np.exp(z, out=z).sum(1)) + top
+        norm = log_norms(r, self.out, self.bias)
         result = np.empty(len(w), np.float64)
         for at in range(0, len(w), 1 << 18):
             p, c = place[at : at + (1 << 18)], w[at : at + (1 << 18)]
@@ -162,6 +176,22 @@ class Model:
         return result
 
 
+def log_norms(r: np.ndarray, out: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The logarithm of the sum of exp(r out + bias) over all output vectors, for each row of ``r``."""
+    norm, turned = np.empty(len(r), np.float32), out.T.copy()
+    rows = max(256, 500_000 // max(1, len(out)))
+    for at in range(0, len(r), rows):
+        z = r[at : at + rows] @ turned
+        z += bias
+        if z.max(initial=0) > 60:
+            top = z.max(1)
+            z -= top[:, None]
+            norm[at : at + rows] = np.log(np.exp(z, out=z).sum(1)) + top
+        else:
+            norm[at : at + rows] = np.log(np.exp(z, out=z).sum(1) + np.float32(1e-35))
+    return norm
+
+
 def _sum_rows(keys: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """The sum of the rows of ``values`` by key."""
     order = np.argsort(keys, kind="stable")
@@ -195,11 +225,14 @@ class Trainer:
         grads = {"a": qx.T @ dr, "b": qy.T @ dr, "out": _sum_rows(w, eg * r, len(m.out)), "bias": np.bincount(w, eg[:, 0], len(m.bias)).astype(np.float32)}
         np.add.at(grads["out"], drawn, eb.T @ r)
         np.add.at(grads["bias"], drawn, eb.sum(0))
-        grads["inp"] = _sum_rows(x, dr @ m.a.T, len(m.inp)) + _sum_rows(y, dr @ m.b.T, len(m.inp))
+        used, place = np.unique(np.concatenate((x, y)), return_inverse=True)
+        grads["inp"] = _sum_rows(place, np.concatenate((dr @ m.a.T, dr @ m.b.T)), len(used))
         for k, g in grads.items():
             g *= n / 64  # as steep as in batches of 64
-            self.sums[k] += g * g
-            getattr(m, k)[...] -= self.rate * g / np.sqrt(self.sums[k])
+            at = used if k == "inp" else slice(None)
+            own = self.sums[k][at] + g * g
+            self.sums[k][at] = own
+            getattr(m, k)[at] -= self.rate * g / np.sqrt(own)
 
 
 def contexts(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,12 +252,12 @@ def trained(texts: DataFrame, model: Model, rate: float = 0.08) -> None:
     schema = pa.schema([("part", pa.int64()), ("n", pa.int64()), ("flat", pa.binary())])
 
     def local(batches):
-        own, unpress, seen = Model(shared.value.noise, shared.value.inp.shape[1]), zstandard.ZstdDecompressor(), 0
+        own, seen = Model(shared.value.noise, shared.value.inp.shape[1], parts=shared.value.parts), 0
         own.load(shared.value.flat())
         trainer, held, size = Trainer(own, rate=rate), [], 0
         for b in batches:
             for raw in b.column(0).to_pylist():
-                held.append(np.frombuffer(unpress.decompress(raw), np.uint16))
+                held.append(unpacked(raw))
                 size += len(held[-1])
                 if size >= 256 * MINI_BATCH:
                     seen += _epoch(trainer, held)
@@ -235,19 +268,27 @@ def trained(texts: DataFrame, model: Model, rate: float = 0.08) -> None:
             yield batch(schema, part=[TaskContext.get().partitionId()], n=[seen], flat=[(own.flat() * np.float32(seen)).tobytes()])
 
     def added(key, table: pa.Table) -> pa.Table:
-        flats = [np.frombuffer(x, np.float32).astype(np.float64) for x in table.column("flat").to_pylist()]
-        return pa.table({"part": [key[0].as_py()], "n": [sum(table.column("n").to_pylist())], "flat": pa.array([sum(flats).astype(np.float32).tobytes()], pa.binary())})
+        return pa.table({"part": [key[0].as_py()], "n": [sum(table.column("n").to_pylist())], "flat": pa.array([_sum_of(table.column("flat")).tobytes()], pa.binary())})
 
-    parts = settled(texts.where("train").select("classes").mapInArrow(local, "part long, n long, flat binary"), "parameters")
-    while parts.count() > 64:  # sums of 64 at a time, so that the driver gets 64 rows at most
-        parts = settled(parts.withColumn("part", F.floor(F.col("part") / 64)).groupBy("part").applyInArrow(lambda key, table: added(key, table), "part long, n long, flat binary"), "parameters")
+    parts = settled(texts.where("train").select("codes").mapInArrow(local, "part long, n long, flat binary"), "parameters")
+    while parts.count() > 16:  # sums of 16 at a time, so that the driver gets 16 rows at most
+        parts = settled(parts.withColumn("part", F.floor(F.col("part") / 16)).groupBy("part").applyInArrow(lambda key, table: added(key, table), "part long, n long, flat binary"), "parameters")
     rows = sorted(tuple(r) for r in parts.collect())
     if rows:
-        model.load((sum(np.frombuffer(r[2], np.float32).astype(np.float64) for r in rows) / sum(r[1] for r in rows)).astype(np.float32))
+        model.load((_sum_of(r[2] for r in rows).astype(np.float64) / sum(r[1] for r in rows)).astype(np.float32))
+
+
+def _sum_of(flats) -> np.ndarray:
+    total = None
+    for x in flats:
+        x = np.frombuffer(x if isinstance(x, bytes | bytearray) else x.as_py(), np.float32)
+        total = x.astype(np.float64) if total is None else total + x
+    return total.astype(np.float32)
 
 
 def _epoch(trainer: Trainer, texts: list[np.ndarray]) -> int:
-    x, y, w = contexts(texts, len(trainer.m.noise))
+    x, y, w = contexts(texts, len(trainer.m.of))
+    w = trainer.m.of[w]
     order = trainer.rng.permutation(len(w))
     for at in range(0, len(w), MINI_BATCH):
         own = order[at : at + MINI_BATCH]
@@ -255,57 +296,211 @@ def _epoch(trainer: Trainer, texts: list[np.ndarray]) -> int:
     return len(w)
 
 
-_SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+_SCORED_ARROW = pa.schema([("block", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+_SCORED = "block long, doc int, doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
+_PLACES_ARROW = pa.schema([("part", pa.int32()), ("block", pa.int64()), *((k, pa.binary()) for k in ("x", "y", "slot", "leaf", "doc"))])
+_SUMS_ARROW = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("sums", pa.binary())])
 
 
 def scores(texts: DataFrame, model: Model) -> DataFrame:
+    """The texts' scores over the classes."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches):
-        own, unpress = shared.value, zstandard.ZstdDecompressor()
+        own = shared.value
 
         def closed(rows, held):
-            x, y, w = contexts(held, len(own.noise))
-            p = np.concatenate(([0.0], np.cumsum(own.log_probabilities(x, y, w) / np.log(10))))
+            x, y, w = contexts(held, len(own.of))
+            p = np.concatenate(([0.0], np.cumsum(own.log_probabilities(x, y, own.of[w]) / np.log(10))))
             ends = np.cumsum([len(t) for t in held])
             total = np.diff(np.concatenate(([0.0], p[ends])))
-            return batch(_SCORED_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_SCORED_ARROW.names[:-1])}, score=total + [r[5] for r in rows])
+            return batch(_SCORED_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_SCORED_ARROW.names[:-1])}, score=total)
 
         rows, held, size = [], [], 0
         for b in pieces(batches):
-            columns = [b.column(k).to_pylist() for k in ("doc_id", "train", "n_tokens", "n_known", "base_score", "tail_score", "classes")]
+            columns = [b.column(k).to_pylist() for k in (*_SCORED_ARROW.names[:-1], "codes")]
             for *row, raw in zip(*columns, strict=True):
                 rows.append(row)
-                held.append(np.frombuffer(unpress.decompress(raw), np.uint16))
+                held.append(unpacked(raw))
                 size += len(held[-1])
-                if size >= 2_000_000:
+                if size >= 1_000_000:
                     yield closed(rows, held)
                     rows, held, size = [], [], 0
         if rows:
             yield closed(rows, held)
 
-    return texts.mapInArrow(scored, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
+    return texts.select(*_SCORED_ARROW.names[:-1], "codes").mapInArrow(scored, _SCORED)
+
+
+def places(texts: DataFrame, top: int, parts: int) -> DataFrame:
+    """Where tokens in slots stand: their contexts, slots, leaves and texts (twice the number, and 1 in training texts), by class and block."""
+
+    def found(batches):
+        def closed(block, held, leaves, docs):
+            x, y, w = contexts(held, top + parts * parts)
+            doc = np.repeat(np.array(docs, np.uint32), [len(t) for t in held])
+            inside = w >= top
+            slot, leaf = w[inside] - np.uint32(top), np.concatenate(leaves)
+            order = np.argsort(slot // parts, kind="stable")
+            columns = [c[order] for c in (x[inside], y[inside], slot % parts, leaf, doc[inside])]
+            part = (slot // parts)[order]
+            starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else []
+            rows = [[packed(c[a:z]) for c in columns] for a, z in zip(starts, [*starts[1:], len(part)], strict=True)] if len(part) else []
+            return batch(_PLACES_ARROW, part=[int(part[a]) for a in starts], block=[block] * len(rows), **{k: [r[j] for r in rows] for j, k in enumerate(_PLACES_ARROW.names[2:])})
+
+        at, held, leaves, docs, size = None, [], [], [], 0
+        for b in pieces(batches):
+            for block, doc, train, codes, leaf in zip(*[b.column(k).to_pylist() for k in ("block", "doc", "train", "codes", "leaves")], strict=True):
+                if held and (block != at or size >= BLOCK_TOKENS):
+                    yield closed(at, held, leaves, docs)
+                    held, leaves, docs, size = [], [], [], 0
+                at = block
+                held.append(unpacked(codes))
+                leaves.append(unpacked(leaf))
+                docs.append(2 * doc + train)
+                size += len(held[-1])
+        if held:
+            yield closed(at, held, leaves, docs)
+
+    return texts.select("block", "doc", "train", "codes", "leaves").mapInArrow(found, "part int, block long, x binary, y binary, slot binary, leaf binary, doc binary")
+
+
+class Level:
+    """Output vectors of the slots of a class or the tokens of a slot, from 0 (the counts alone), under contexts that stay as they are."""
+
+    def __init__(self, counts: np.ndarray, width: int):
+        self.shares = counts / counts.sum()
+        self.out, self.bias = np.zeros((len(counts), width), np.float32), np.log(self.shares).astype(np.float32)
+
+    def train(self, r, w: np.ndarray, rng, noise: int, size: int, rate: float = 0.08) -> None:
+        """One pass of noise-contrastive estimation; ``r`` gives the contexts at some places."""
+        if len(self.bias) < 2:
+            return
+        sums, bias_sums = np.full_like(self.out, 0.1), np.full_like(self.bias, 0.1)
+        cumulative, log_noise = np.cumsum(self.shares), np.log(noise * self.shares).astype(np.float32)
+        order = rng.permutation(len(w))
+        for at in range(0, len(w), size):
+            own = order[at : at + size]
+            q, t = r(own), w[own]
+            drawn = np.minimum(np.searchsorted(cumulative, rng.random(noise) * cumulative[-1]), len(cumulative) - 1)
+            good = np.einsum("ij,ij->i", q, self.out[t]) + self.bias[t] - log_noise[t]
+            bad = q @ self.out[drawn].T + (self.bias[drawn] - log_noise[drawn])
+            eg, eb = 1 / (1 + np.exp(-np.clip(good, -20, 20))) - 1, 1 / (1 + np.exp(-np.clip(bad, -20, 20)))
+            used, place = np.unique(np.concatenate((t, drawn)), return_inverse=True)
+            g = _sum_rows(place, np.concatenate((eg[:, None] * q, eb.T @ q)), len(used)) / 64
+            gb = np.bincount(place, np.concatenate((eg, eb.sum(0))), len(used)).astype(np.float32) / 64
+            sums[used] += g * g
+            bias_sums[used] += gb * gb
+            self.out[used] -= rate * g / np.sqrt(sums[used])
+            self.bias[used] -= rate * gb / np.sqrt(bias_sums[used])
+
+    def log_probabilities(self, r: np.ndarray, w: np.ndarray) -> np.ndarray:
+        if len(self.bias) < 2:
+            return np.zeros(len(w), np.float32)
+        return np.einsum("ij,ij->i", r, self.out[w]) + self.bias[w] - log_norms(r, self.out, self.bias)
+
+
+def within(first: np.ndarray, second: np.ndarray, x, y, slot, leaf, train, members: tuple[np.ndarray, np.ndarray, np.ndarray], parts: int, seed: int) -> np.ndarray:
+    """Natural logarithms, at every place, of the slot in its class and the token in its slot, learnt where ``train`` holds.
+
+    ``members``: slot, leaf and count of the class's tokens.
+    """
+    rng, width = np.random.default_rng(seed), first.shape[1]
+    order = np.argsort(slot, kind="stable")
+    x, y, slot, leaf, train = x[order], y[order], slot[order], leaf[order], train[order]
+    of, number, count = members
+    whole = Level(np.bincount(of, count, parts) + 1.0, width)
+    taught = np.flatnonzero(train)
+    whole.train(lambda i: first[x[taught[i]]] + second[y[taught[i]]], slot[taught], rng, NOISE, MINI_BATCH)
+    p = np.empty(len(slot))
+    for at in range(0, len(slot), 1 << 16):
+        some = slice(at, at + (1 << 16))
+        p[some] = whole.log_probabilities(first[x[some]] + second[y[some]], slot[some])
+    by = np.argsort(of, kind="stable")
+    of, number, count = of[by], number[by], count[by]
+    edge, known = np.searchsorted(slot, np.arange(parts + 1)), np.searchsorted(of, np.arange(parts + 1))
+    for j in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
+        some, own = slice(edge[j], edge[j + 1]), slice(known[j], known[j + 1])
+        counts = np.ones(own.stop - own.start + 1)  # leaf 0: tokens that no training text holds
+        counts[number[own]] += count[own]
+        tokens_of, r, w = Level(counts, width), first[x[some]] + second[y[some]], leaf[some]
+        here = np.flatnonzero(train[some])
+        tokens_of.train(lambda i, r=r, here=here: r[here[i]], w[here], rng, 32, 1024)
+        for at in range(0, len(w), 1 << 16):
+            p[edge[j] + at : edge[j] + at + len(w[at : at + (1 << 16)])] += tokens_of.log_probabilities(r[at : at + (1 << 16)], w[at : at + (1 << 16)])
+    out = np.empty(len(p))
+    out[order] = p
+    return out
+
+
+def slot_scores(found: DataFrame, members: DataFrame, model: Model) -> DataFrame:
+    """For each block the sums over its texts of the log10 probabilities of slots and leaves; a class in one task."""
+    shared = found.sparkSession.sparkContext.broadcast((model.inp @ model.a, model.inp @ model.b))
+    parts = model.parts
+
+    def fit(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        first, second = shared.value
+        left = left.sort_by([("block", "ascending")])
+        blocks = left.column("block").to_pylist()
+        x, y, slot, leaf, doc = (np.concatenate([unpacked(v.as_py()) for v in left.column(k)] or [np.zeros(0, np.uint32)]) for k in _PLACES_ARROW.names[2:])
+        sizes = [len(unpacked(v.as_py())) for v in left.column("doc")]
+        known = tuple(right.column(k).to_numpy().astype(np.int64) for k in ("slot", "leaf", "c"))
+        p = within(first, second, x, y, slot, leaf, doc % 2 == 1, known, parts, 1 if key[0].as_py() is None else key[0].as_py() + 1) / np.log(10)
+        rows, at = [], 0
+        for block, n in zip(blocks, sizes, strict=True):
+            docs, place = np.unique(doc[at : at + n] // 2, return_inverse=True)
+            rows.append((block, packed(np.diff(docs, prepend=np.uint32(0))), np.bincount(place, p[at : at + n], len(docs)).astype("<f4").tobytes()))
+            at += n
+        return pa.Table.from_batches([batch(_SUMS_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_SUMS_ARROW.names)})])
+
+    return found.groupBy("part").cogroup(members.groupBy("part")).applyInArrow(lambda key, left, right: fit(key, left, right), "block long, docs binary, sums binary")
+
+
+def together(scored: DataFrame, sums: DataFrame) -> DataFrame:
+    """The texts with the scores of their classes and of what is within them."""
+
+    def join(left: pa.Table, right: pa.Table) -> pa.Table:
+        doc = left.column("doc").to_numpy()
+        total = np.zeros(int(doc.max(initial=-1)) + 1)
+        for docs, part in sorted(zip(right.column("docs").to_pylist(), right.column("sums").to_pylist(), strict=True)):
+            total[np.cumsum(unpacked(docs))] += np.frombuffer(part, "<f4")
+        return left.set_column(left.schema.get_field_index("score"), "score", pa.array(left.column("score").to_numpy() + total[doc]))
+
+    return scored.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(join, _SCORED)
+
+
+def parts_for(types: int) -> int:
+    """The least S whose S x S slots hold S of so many tokens each."""
+    n = max(1, round(types ** (1 / 3)))
+    return n if n**3 >= types else n + 1
 
 
 def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS, classes: int = CLASSES, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities) of every row; ``train`` says which rows teach."""
-    if not 0 < classes < 65535:
-        raise ValueError("classes must fit in 16 bits")
+    if classes < 1:
+        raise ValueError("there must be classes")
     blocks = settled(coded(docs, F.coalesce(train, F.lit(False)), id_col, text_col, block_tokens), "blocks")
     words = blocks.where("token is not null").select("block", "token", "local", "n")
     counts = settled(words.groupBy("token").agg(F.sum("n").alias("c")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     top = counts.where("c > 0").orderBy(F.desc("c"), "token").limit(classes).collect()
     numbers = docs.sparkSession.createDataFrame([(bytes(r.token), i) for i, r in enumerate(top)], "token binary, cls int")
-    own = counts.join(F.broadcast(numbers), "token", "left")
-    found = words.join(own, "token").select("block", "local", "c", "cls")
-    tail_total, tail_distinct = total - sum(r.c for r in top), distinct - len(top)
-    texts = settled(classed(blocks.where("token is null").select("block", "doc_id", "train", "ids"), found, total, distinct, tail_total, tail_distinct, len(top)), "classes")
-    shares = np.array([r.c for r in top] + [tail_total + 1], float)
-    model = Model(shares / shares.sum(), width)
+    parts = parts_for(distinct - len(top))
+    slotted = counts.join(F.broadcast(numbers), "token", "left").withColumn("slot", F.pmod(F.xxhash64("token"), F.lit(parts * parts)).cast("int"))
+    known = F.col("cls").isNull() & (F.col("c") > 0)
+    leaf = F.when(known, F.row_number().over(Window.partitionBy("slot", known).orderBy("token"))).otherwise(0)
+    own = settled(slotted.select("token", "c", F.coalesce("cls", F.col("slot") + len(top)).alias("code"), F.col("cls").isNull().alias("inside"), "slot", leaf.alias("leaf")), "types")
+    found = words.join(own, "token").select("block", "local", "c", "code", "inside", "leaf")
+    members = own.where("leaf > 0").select(F.floor(F.col("slot") / parts).cast("int").alias("part"), (F.col("slot") % parts).alias("slot"), "leaf", "c")
+    texts = settled(classed(blocks.where("token is null").select("block", "doc_id", "train", "ids"), found, total, distinct), "classes")
+    shares = np.ones(len(top) + parts)
+    shares[: len(top)] = [r.c for r in top]
+    for r in members.groupBy("part").agg(F.sum("c").alias("c")).collect():  # fewer than the cube root of the tokens
+        shares[len(top) + r.part] += r.c
+    model = Model(shares / shares.sum(), width, parts=parts)
     for i in range(rounds):
         trained(texts, model, 0.08 / (1 + i))
-    result = scores(texts, model)
+    result = settled(together(scores(texts, model), slot_scores(places(texts, len(top), parts), members, model)), "scores")
     return result.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -137,6 +137,42 @@ def test_model_beats_counts_alone_on_held_out_texts(spark):
     assert got[0] > got[1] * 0.95
 
 
+def test_tokens_beyond_the_classes_are_predicted_from_their_contexts(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):  # a word follows from the one before it; six of the forty are classes
+        at, text = rng.randrange(40), []
+        for _ in range(200):
+            at = (at + 1) % 40 if rng.random() < 0.9 else rng.randrange(40)
+            text.append(f"word{at}")
+        rows.append((i, " ".join(text)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = lm.score(frame, F.col("doc_id") % 5 != 0, classes=6, rounds=3).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1] * 0.9
+
+
+def test_slots_grow_with_the_tokens():
+    assert [lm.parts_for(n) for n in (0, 1, 2, 8, 9, 27_000, 27_001, 10**9)] == [1, 1, 2, 2, 3, 30, 31, 1000]
+    model = lm.Model(np.full(7, 1 / 7), width=4, parts=3)
+    assert len(model.inp) == 4 + 9 + 1 and model.of.tolist() == [0, 1, 2, 3, 4, 4, 4, 5, 5, 5, 6, 6, 6]
+
+
+def test_probabilities_within_a_class_are_normalised_and_learnt():
+    rng = np.random.default_rng(0)
+    first, second = rng.normal(size=(12, 8)).astype(np.float32), rng.normal(size=(12, 8)).astype(np.float32)
+    x, n = rng.integers(0, 12, 30_000), 3
+    follow = rng.permutation(12)
+    token = np.where(rng.random(len(x)) < 0.8, follow[x], rng.integers(0, 12, len(x)))  # 12 tokens: four in each of three slots
+    members = (np.arange(12) // 4, np.arange(12) % 4 + 1, np.bincount(token, minlength=12))
+    every = np.array([(s, k) for s in range(n) for k in range(5)])
+    x2 = np.concatenate((x, np.full(15, 5)))
+    slot, leaf = np.concatenate((token // 4, every[:, 0])), np.concatenate((token % 4 + 1, every[:, 1]))
+    p = lm.within(first, second, x2, x2, slot, leaf, np.arange(len(x2)) < len(x), members, n, 1)
+    assert abs(np.exp(p[-15:]).sum() - 1) < 1e-4
+    share = np.log(np.bincount(token) / len(token))
+    assert p[:-15].mean() > share[token].mean() + 0.5
+
+
 # --- personal data ---
 
 KINDS = [

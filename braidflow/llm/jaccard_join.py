@@ -1,11 +1,11 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact verification decides.
+"""N-gram Jaccard join: banded MinHash finds candidates, exact verification decides.
 
 Texts are sets of five-word shingles. Texts with equal sets form one class of
-copies, and only its smallest id takes part in the search. Every tree of the
-forest orders texts by a signature of minima; texts that share a prefix of the
-signature lie together in the sorted trie. Starting from the full depth, the
-matched prefix is shortened until, at the threshold, two texts share it in some
-tree with the target recall. Each run of equal prefixes links its texts to its
+copies, and only its smallest id takes part in the search. Every tree gives a
+text a prefix of a signature of minima, hashed to one key. The prefix has one
+length for all texts: the longest, up to the full depth, that two texts at the
+threshold share in some tree with the target recall. These are bands, not sorted
+tries, and no prefix adapts to the data. Texts of equal prefixes are linked to the
 smallest one, and the connected components of these links are the candidate
 groups: whatever shares a prefix in any tree is in one group.
 

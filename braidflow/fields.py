@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StructType, _parse_datatype_string
 
@@ -26,6 +26,32 @@ class FieldError(ValueError):
     """A selector that does not fit the fields, or types that do not fit each other."""
 
 
+def quoted(name: str) -> str:
+    """A field's name as Spark's own expressions take it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def col(name: str) -> Column:
+    return F.col(quoted(name))
+
+
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, or a longer one that none of ``taken`` equals, upper and lower case alike."""
+    have = {x.lower() for x in taken}
+    while name.lower() in have:
+        name = f"_{name}"
+    return name
+
+
+def distinct(names: Sequence[str]) -> None:
+    """Check that no two names are equal, upper and lower case alike, as Spark compares them."""
+    seen: set[str] = set()
+    for n in names:
+        if n.lower() in seen:
+            raise FieldError(f"field {n!r} would stand twice in {list(names)}")
+        seen.add(n.lower())
+
+
 def resolve(selector, columns: Sequence[str]) -> list[str]:
     """The names that ``selector`` picks from ``columns``: ALL, NONE, a name, a position (negative from the end), or a list of them."""
     if selector is ALL:
@@ -64,7 +90,7 @@ def typed(df: DataFrame, **kinds) -> DataFrame:
         want, old = kind_of(kind), have[name]
         if want != old and old.typeName() != "string" and not (isinstance(want, NumericType) and isinstance(old, NumericType)):
             raise FieldError(f"{name} is {old.simpleString()}, not {want.simpleString()}")
-    return df.select(*[F.col(f"`{c}`").cast(kind_of(kinds[c])).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
+    return df.select(*[col(c).cast(kind_of(kinds[c])).alias(c) if c in kinds else col(c) for c in df.columns])
 
 
 def same_shape(first: StructType, other: StructType) -> None:

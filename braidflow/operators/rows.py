@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from braidflow.fields import ALL, NONE, RESULTS, FieldError, resolve
+from braidflow.fields import ALL, NONE, RESULTS, FieldError, col, distinct, resolve
 from braidflow.functions import expression
+from braidflow.operators.streams import over_frames
 
 
 class Level(IntEnum):
@@ -31,16 +32,19 @@ def each(df: DataFrame, output=ALL, **results: str | Column) -> DataFrame:
     made = {n: expression(e).alias(n) for n, e in results.items()}
     if output is RESULTS:
         return df.select(*made.values())
-    if clash := set(made) & set(df.columns):
-        raise FieldError(f"the results {sorted(clash)} are fields already; select RESULTS or use replace()")
+    have = {c.lower() for c in df.columns}
+    if clash := [n for n in made if n.lower() in have]:
+        raise FieldError(f"the results {clash} are fields already; select RESULTS or use replace()")
+    distinct(list(made))
     wide = df.select("*", *made.values())
-    return wide if output is ALL else wide.select(*resolve(output, wide.columns))
+    return wide if output is ALL else project(wide, output)
 
 
 def replace(df: DataFrame, **results: str | Column) -> DataFrame:
     """Fields given a new value in place."""
     resolve(list(results), df.columns)
-    return df.withColumns({n: expression(e) for n, e in results.items()})
+    made = {n: expression(e).alias(n) for n, e in results.items()}
+    return df.select(*[made.get(c, col(c)) for c in df.columns])
 
 
 def keep(df: DataFrame, condition: str | Column) -> DataFrame:
@@ -56,16 +60,15 @@ def discard(df: DataFrame, condition: str | Column) -> DataFrame:
 def project(df: DataFrame, selector) -> DataFrame:
     if selector is NONE:
         raise FieldError("a projection needs a field")
-    return df.select(*resolve(selector, df.columns))
+    return df.select(*map(col, resolve(selector, df.columns)))
 
 
 def rename(df: DataFrame, **names: str) -> DataFrame:
     """``old=new``; no two fields may end up with one name."""
     resolve(list(names), df.columns)
     after = [names.get(c, c) for c in df.columns]
-    if len(set(after)) < len(after):
-        raise FieldError(f"names clash: {after}")
-    return df.withColumnsRenamed(names)
+    distinct(after)
+    return df.toDF(*after)
 
 
 def generate(df: DataFrame, output=ALL, **generator: Column) -> DataFrame:
@@ -76,8 +79,11 @@ def generate(df: DataFrame, output=ALL, **generator: Column) -> DataFrame:
 
 
 def opaque(df: DataFrame, f: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | StructType, arguments=ALL) -> DataFrame:
-    """User code over batches of rows. Nothing is pushed through it, so it gets only its ``arguments``."""
-    return df.select(*resolve(arguments, df.columns)).mapInPandas(f, schema)
+    """User code over batches of rows. Nothing is pushed through it, so it gets only its ``arguments``.
+
+    Whole numbers and truth values come in pandas' nullable types, so that they are exact beside nulls.
+    """
+    return over_frames(df.select(*map(col, resolve(arguments, df.columns))), f, schema)
 
 
 def assert_that(df: DataFrame, condition: str | Column, message: str = "assertion failed", *, level: Level = Level.VALID, configured: Level = Level.STRICT) -> DataFrame:
@@ -88,11 +94,14 @@ def assert_that(df: DataFrame, condition: str | Column, message: str = "assertio
     if level > configured or not df.columns:
         return df
     good, c = F.coalesce(expression(condition), F.lit(False)), df.columns[0]
-    return df.where(F.when(good, True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))).withColumn(c, F.col(f"`{c}`"))
+    return df.where(F.when(good, True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))).withColumn(c, col(c))
 
 
 def debug(df: DataFrame, name: str, *, level: Level = Level.STRICT, configured: Level = Level.NONE, show: Callable[[str], None] = print, rows: int = 20) -> DataFrame:
-    """Show some rows while a flow is built, if its level asks for it; otherwise nothing is planned or run."""
+    """Show some rows while a flow is built, if its level asks for it; otherwise nothing is planned or run.
+
+    Showing takes a job of its own. A flow's preview asks for no level.
+    """
     if level <= configured:
         show(f"{name}: " + "; ".join(str(r.asDict()) for r in df.take(rows)))
     return df

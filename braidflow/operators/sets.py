@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 
-from braidflow.fields import FieldError, same_shape
+from braidflow.fields import FieldError, col, same_shape
 from braidflow.functions import expression
 
 
@@ -26,7 +26,7 @@ def split(df: DataFrame, **conditions: str | Column) -> dict[str, DataFrame]:
 
 def unique(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct values of some fields, or of all."""
-    return (df.select(*columns) if columns else df).distinct()
+    return (df.select(*map(col, columns)) if columns else df).distinct()
 
 
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:

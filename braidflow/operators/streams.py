@@ -9,11 +9,34 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: User frames are gathered up to so many rows or frames before they are converted.
 ROWS, FRAMES = 20_000, 2_000
 
 
+_NULLABLE = {pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype(), pa.bool_(): pd.BooleanDtype()}
+
+
+def frame_of(batch: pa.RecordBatch | pa.Table) -> pd.DataFrame:
+    """The rows as pandas has them, whole numbers and truth values in types that hold nulls beside exact values."""
+    return batch.to_pandas(types_mapper=_NULLABLE.get)
+
+
+def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``f`` over each partition's batches, whatever the fields' names hold: on the way they are numbered."""
+    names = df.columns
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(lambda batches: f(b.rename_columns(names) for b in batches), schema)
+
+
+def over_frames(df: DataFrame, f: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str | StructType) -> DataFrame:
+    """User code from frames to frames, over each partition's batches."""
+    target = to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)
+    return map_batches(df, lambda batches: as_batches(f(frame_of(b) for b in batches), target), schema)
+
+
 def _changes(column: pa.Array) -> np.ndarray:
     """Whether each value but the first differs from the one before; null equals null and NaN equals NaN."""
     a, b = column.slice(0, len(column) - 1), column.slice(1)

@@ -112,6 +112,49 @@ def source_trap_good(spark, sf_dir):
     return taps.TextDelimited(at, schema="event_id bigint").read_trapped(spark).good
 
 
+@query("select event_id, 'bad' || event_id as trap_record from (select event_id from events where event_type = 'error')")
+def source_trap_bad(spark, sf_dir):
+    at = scratch(spark, "bad")
+    mixed = table(spark, sf_dir, "events").select(F.when(F.col("event_type") == "error", F.concat(F.lit("bad"), F.col("event_id"))).otherwise(F.col("event_id").cast("string")).alias("event_id"))
+    taps.TextDelimited(at).write(mixed)
+    bad = taps.TextDelimited(at, schema="n bigint").read_trapped(spark).bad
+    return bad.select(F.substring("trap_record", 4, 20).cast("long").alias("event_id"), "trap_record")
+
+
+@query("select c_custkey, c_custkey % 4 as bucket from customer")
+def partitioned_by_expression(spark, sf_dir):
+    tap = taps.Partitioned(scratch(spark, "buckets"), partition_by=["bucket"], expressions={"bucket": "c_custkey % 4"}, spread=3, open_files=8)
+    tap.write(table(spark, sf_dir, "customer").select("c_custkey"))
+    return tap.read(spark).select("c_custkey", F.col("bucket").cast("long").alias("bucket"))
+
+
+@query("select i as n, i * i as square from range(20) t(i)")
+def custom_source(spark, sf_dir):
+    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+    class Squares(DataSource):
+        @classmethod
+        def name(cls):
+            return "braidflow_squares"
+
+        def schema(self):
+            return "n bigint, square bigint"
+
+        def reader(self, schema):
+            upto = int(self.options["path"])
+
+            class Reader(DataSourceReader):
+                def partitions(self):
+                    return [InputPartition(i) for i in range(4)]
+
+                def read(self, partition):
+                    yield from ((n, n * n) for n in range(partition.value, upto, 4))
+
+            return Reader()
+
+    return taps.Tap("20", source=Squares).read(spark)
+
+
 # --- row operations ---
 
 
@@ -212,6 +255,38 @@ def typed_fields(spark, sf_dir):
     return typed(table(spark, sf_dir, "region"), r_regionkey="bigint")
 
 
+_WIDE = "select o_orderkey as k, o_custkey as c, case when o_orderkey % 3 = 0 then null else 1152921504606846977 + o_orderkey // 8 end as v from orders"
+
+
+_SHOWN = f"select k, c, v::varchar as v from ({_WIDE})"  # as text, so that no reader of the result can round them
+
+
+def _shown(df):
+    return df.withColumn("v", F.col("v").cast("string"))
+
+
+def _wide(spark, sf_dir):
+    """Whole numbers that a double can't hold, beside nulls."""
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "o_custkey as c", "if(o_orderkey % 3 = 0, null, 1152921504606846977 + o_orderkey div 8) as v")
+
+
+@query(_SHOWN)
+def opaque_wide(spark, sf_dir):
+    return _shown(rows.opaque(_wide(spark, sf_dir), lambda frames: frames, "k long, c long, v long"))
+
+
+@query(_SHOWN)
+def trap_wide(spark, sf_dir):
+    return _shown(trapped_map(_wide(spark, sf_dir), lambda row: [row], "k long, c long, v long").good)
+
+
+@query("select o_orderkey % 10 as part, count(*) as n from orders group by 1")
+def slice_numbers(spark, sf_dir):
+    dealt = table(spark, sf_dir, "orders").selectExpr("o_orderkey % 10 as part").repartition(5, "part")
+    by_slice = aggregate_by(rows.slices(dealt), ["slice", "part"], n="count(*)")
+    return aggregate_by(by_slice, "part", slices="count(*)", n="sum(n)").where("slices = 1").select("part", "n")
+
+
 # --- merges and splits ---
 
 
@@ -329,6 +404,24 @@ def group_collected(spark, sf_dir):
     return paths.select("user_id", F.array_join("found.event_type", ",").alias("path"))
 
 
+@query(_SHOWN)
+def buffer_wide(spark, sf_dir):
+    return _shown(group_by(_wide(spark, sf_dir), "c", ["k"]).buffer(lambda key, frames: frames, "k long, c long, v long"))
+
+
+@query("select o_orderstatus as \"o.status\", count(*) as \"n.rows\" from orders group by 1")
+def group_dotted(spark, sf_dir):
+    renamed = rows.rename(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), o_orderstatus="o.status")
+    return group_by(renamed, "o.status").every(**{"n.rows": "count(*)"})
+
+
+@query("""select conv_id, turn from (select *, case when turn % 2 = 1 then upper(role) else role end as shown from conversations)
+          qualify row_number() over (partition by conv_id order by lower(shown) desc, turn) = 1""")
+def group_sort_comparator(spark, sf_dir):
+    mixed = table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "case when turn % 2 = 1 then upper(role) else role end as role")
+    return group_by(mixed, "conv_id", [("role", True, fn.ignoring_case), "turn"]).top(1).select("conv_id", "turn")
+
+
 @query("select p_partkey, p_retailprice from part order by p_retailprice, p_partkey")
 def total_sort_parts(spark, sf_dir):
     return total_sort(table(spark, sf_dir, "part").select("p_partkey", "p_retailprice"), "p_retailprice", "p_partkey")
@@ -413,11 +506,11 @@ def cogroup_cross(spark, sf_dir):
 
 
 @query("""select o_orderkey as k, count(*) as n, sum(round(l_extendedprice * 100)::bigint)::bigint as cents
-          from orders join lineitem on o_orderkey = l_orderkey where o_orderstatus = 'F' group by 1""")
+          from orders join lineitem on o_orderkey = l_orderkey group by 1""")
 def cogroup_every(spark, sf_dir):
-    finished = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), fn.cents("l_extendedprice").alias("cents"))
-    both = joins.cogroup({"o": finished, "l": lines}, "k", keys_not_null=True)
+    both = joins.cogroup({"o": orders, "l": lines}, "k", keys_not_null=True)
     return aggregate_by(both, "_key_0", n="count(*)", cents="sum(l_cents)").withColumnRenamed("_key_0", "k")
 
 
@@ -433,6 +526,42 @@ def custom_joiner(spark, sf_dir):
     return joins.custom_join(_sides(spark, sf_dir), "k", f, "k long, n long, mixed long, sides string")
 
 
+@query("""with a as (select v, count(*) as n from (WIDE) where k % 2 = 0 group by 1), b as (select v, count(*) as n from (WIDE) where k % 5 = 0 group by 1)
+          select coalesce(a.v, b.v)::varchar as v, a.n as left_n, b.n as right_n from a full join b on a.v is not distinct from b.v""".replace("WIDE", _WIDE))
+def custom_joiner_wide(spark, sf_dir):
+    def f(frames):
+        for x in frames:
+            yield pd.DataFrame({"v": x.a_v.where(x.a_present, x.b_v), "left_n": x.a_n, "right_n": x.b_n})
+
+    wide = _wide(spark, sf_dir)
+    inputs = {"a": count_by(wide.where("k % 2 = 0"), "v", "n"), "b": count_by(wide.where("k % 5 = 0"), "v", "n")}
+    return _shown(joins.custom_join(inputs, "v", f, "v long, left_n long, right_n long"))
+
+
+@query("""select k, n from (select o_orderkey as k from orders where o_orderpriority != '1-URGENT') o
+          full join (select l_orderkey as k, count(*) as n from lineitem where l_returnflag = 'R' group by 1) l using (k)""")
+def cogroup_buffer(spark, sf_dir):
+    def f(key, frames):
+        for x in frames:
+            yield pd.DataFrame({"k": [key[0]] * len(x), "n": x.l_n})
+
+    return group_by(joins.cogroup(_sides(spark, sf_dir), "k", "full"), "_key_0", ["l_n"]).buffer(f, "k long, n long")
+
+
+@query("""select a.role as _key_0, a.role as a_role, a.n as a_n, b.role as b_role, b.n as b_n
+          from (select upper(role) as role, count(*) as n from conversations where turn = 1 group by 1) a
+          left join (select role, count(*) as n from conversations where role != 'system' group by 1) b on lower(a.role) = lower(b.role)""")
+def cogroup_comparator(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    first = count_by(turns.where("turn = 1").selectExpr("upper(role) as role"), "role", "n")
+    return joins.cogroup({"a": first, "b": count_by(turns.where("role != 'system'").select("role"), "role", "n")}, "role", "left", comparators=[fn.ignoring_case])
+
+
+@query("select s_suppkey as s_s_suppkey, n_nationkey as n_n_nationkey from supplier, nation")
+def cogroup_cross_unsent(spark, sf_dir):
+    return joins.cross({"s": table(spark, sf_dir, "supplier").select("s_suppkey"), "n": table(spark, sf_dir, "nation").select("n_nationkey")}, limit=0)
+
+
 # --- broadcast joins ---
 
 
@@ -516,6 +645,16 @@ def bufferjoin_nokey(spark, sf_dir):
     return joins.buffer_join({"n": table(spark, sf_dir, "nation"), "r": table(spark, sf_dir, "region")}, NONE, f, "regions long, nations long")
 
 
+@query(f"select k, v from ({_SHOWN}) where k % 2 = 0 union all select k, v from ({_SHOWN}) where k % 5 = 0")
+def bufferjoin_wide(spark, sf_dir):
+    def f(key, first, others):  # a third of all rows has the null key, far more than are held in memory
+        yield from first
+        yield from others[0]
+
+    wide = _wide(spark, sf_dir).select("k", "v")
+    return _shown(joins.buffer_join({"a": wide.where("k % 2 = 0"), "b": wide.where("k % 5 = 0")}, "v", f, "k long, v long", spill_rows=50))
+
+
 # --- flows ---
 
 
@@ -539,6 +678,34 @@ def flow_wordcount(spark, sf_dir):
     return sink.read(spark)
 
 
+@query("""select 'dear' as sink, count(*) as n from orders where o_totalprice > 100000 union all select 'urgent', count(*) from orders where o_orderpriority = '1-URGENT'
+          union all select 'checkpoint', count(*) from orders where o_orderstatus != 'P'""")
+def flow_two_sinks(spark, sf_dir):
+    from braidflow.plans.flow import Flow
+
+    def assembly(inputs, context):
+        shared = context.checkpoint(rows.discard(inputs["orders"], "o_orderstatus = 'P'"), "open")
+        both = sets.split(sets.merge(shared, rows.keep(inputs["orders"], "o_orderstatus = 'P'")), dear="o_totalprice > 100000", urgent="o_orderpriority = '1-URGENT'")
+        return {n: b.select("o_orderkey") for n, b in both.items()}
+
+    sinks = {n: taps.parquet(scratch(spark, n)) for n in ("dear", "urgent")}
+    kept = taps.parquet(scratch(spark, "open"))
+    Flow("two sinks", {"orders": taps.parquet(f"{sf_dir}/orders.parquet")}, sinks, assembly, checkpoints={"open": kept}).run(spark)
+    return sets.merge(*[count_by(tap.read(spark).select(F.lit(n).alias("sink")), "sink", "n") for n, tap in {**sinks, "checkpoint": kept}.items()])
+
+
+@query("select count(*) as read, 0::bigint as unread from region")
+def flow_counters(spark, sf_dir):
+    from braidflow.plans.flow import Flow
+
+    def assembly(inputs, context):
+        context.counters.count(inputs["region"], "loose", unread="*")  # a branch that leads nowhere is never run
+        return {"out": context.counters.count(inputs["region"], "rows", read="*")}
+
+    stats = Flow("counters", {"region": taps.parquet(f"{sf_dir}/region.parquet")}, {"out": taps.parquet(scratch(spark, "out"))}, assembly).run(spark)
+    return spark.createDataFrame([(stats.counter("rows", "read"), stats.counter("loose", "unread"))], "read long, unread long")
+
+
 # --- what Spark has beyond ---
 
 

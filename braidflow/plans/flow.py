@@ -21,6 +21,10 @@ class FlowError(ValueError):
     """An assembly that does not hold together."""
 
 
+def _overlap(a: str, b: str) -> bool:
+    return a == b or a.startswith(b + "/") or b.startswith(a + "/")
+
+
 Assembly = Callable[[dict[str, DataFrame], "Context"], dict[str, DataFrame]]
 
 
@@ -35,6 +39,8 @@ class Context:
     debugging: Level
     kept: list[DataFrame] = field(default_factory=list)
     checkpoints: dict[str, Tap] = field(default_factory=dict)
+    #: A preview plans everything and writes nothing.
+    preview: bool = False
 
     def share(self, df: DataFrame) -> DataFrame:
         """Keep a branch that several sinks use, on disk where memory is short."""
@@ -43,7 +49,7 @@ class Context:
 
     def checkpoint(self, df: DataFrame, name: str) -> DataFrame:
         """Write a branch to the flow's checkpoint of that name, if it has one, and go on from what is read back."""
-        if name not in self.checkpoints:
+        if name not in self.checkpoints or self.preview:
             return df
         self.checkpoints[name].write(df)
         return self.checkpoints[name].read(self.spark)
@@ -78,27 +84,34 @@ class Flow:
     def __post_init__(self):
         self.tag = f"{self.name}-{uuid.uuid4().hex}"
 
-    def validate(self) -> None:
-        """What can be seen without running: names, and places that would be read and written at once."""
+    def validate(self, spark: SparkSession | None = None) -> None:
+        """What can be seen without running: names, and places that would be read and written at once.
+
+        A place inside another counts as that one. With a session, places are compared as its file systems see them.
+        """
         if not self.sources or not self.sinks:
             raise FlowError(f"flow {self.name} needs a source and a sink")
         if clash := set(self.sinks) & set(self.traps):
             raise FlowError(f"{sorted(clash)} are both sinks and traps")
         written: dict[str, str] = {}
         for n, tap in [*self.sinks.items(), *self.traps.items(), *self.checkpoints.items()]:
-            if tap.path in written:
-                raise FlowError(f"{n} and {written[tap.path]} write to {tap.path}")
-            written[tap.path] = n
+            own = tap.place(spark)
+            if other := next((m for at, m in written.items() if _overlap(own, at)), None):
+                raise FlowError(f"{n} and {other} write to {tap.path}")
+            written[own] = n
         for n, tap in self.sources.items():
-            if tap.path in written:
-                raise FlowError(f"source {n} reads what {written[tap.path]} writes: {tap.path}")
+            if other := next((m for at, m in written.items() if _overlap(tap.place(spark), at)), None):
+                raise FlowError(f"source {n} reads what {other} writes: {tap.path}")
         if unknown := self.ordered - set(self.sinks):
             raise FlowError(f"no sinks {sorted(unknown)}")
 
-    def _plan(self, spark: SparkSession) -> tuple[dict[str, DataFrame], Context]:
-        self.validate()
-        context = Context(spark, self.config, Counters(), self.assertions, self.debugging, checkpoints=self.checkpoints)
-        inputs = {n: tap.read(spark) for n, tap in self.sources.items()}
+    def _plan(self, spark: SparkSession, preview: bool = False) -> tuple[dict[str, DataFrame], Context]:
+        self.validate(spark)
+        context = Context(spark, self.config, Counters(), self.assertions, Level.NONE if preview else self.debugging, checkpoints=self.checkpoints, preview=preview)
+        inputs = {}
+        for n, tap in self.sources.items():
+            with self._config_of(tap).held(spark):
+                inputs[n] = tap.read(spark)
         if (n := self.config.get("source.parts")) is not None:
             inputs = {k: df.repartition(int(n)) for k, df in inputs.items()}
         out = self.assembly(inputs, context)
@@ -114,10 +127,14 @@ class Flow:
                 raise FlowError(f"{n} gets a {type(df).__name__}, not a dataset")
         return out, context
 
+    def _config_of(self, tap: Tap) -> Config:
+        """The flow's settings under those of a tap."""
+        return self.config if tap.layer is None else self.config.with_layer(tap.layer)
+
     def preview(self, spark: SparkSession, mode: str = "formatted") -> dict[str, str]:
-        """Every sink's plan as text, without running it."""
+        """Every sink's plan as text. Nothing is run and nothing written: checkpoints and debug levels are left out."""
         with self.config.held(spark):
-            out, context = self._plan(spark)
+            out, context = self._plan(spark, preview=True)
             plans = {n: df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode) for n, df in out.items()}
             for df in context.kept:
                 df.unpersist()
@@ -126,7 +143,7 @@ class Flow:
     def run(self, spark: SparkSession) -> Stats:
         """Delete what is to be replaced, write all sinks and traps, and tell what was counted."""
         began = time.time()
-        self.validate()
+        self.validate(spark)
         for tap in [*self.sinks.values(), *self.traps.values(), *self.checkpoints.values()]:
             if tap.mode is SinkMode.REPLACE:
                 tap.delete(spark)
@@ -137,7 +154,8 @@ class Flow:
             try:
                 out, context = self._plan(spark)
                 for n, tap in [*self.sinks.items(), *self.traps.items()]:
-                    tap.write(out[n], ordered=n in self.ordered)
+                    with self._config_of(tap).held(spark):
+                        tap.write(out[n], ordered=n in self.ordered)
             finally:
                 spark.sparkContext.removeJobTag(self.tag)
                 spark.sparkContext.setInterruptOnCancel(False)

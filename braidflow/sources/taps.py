@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from enum import Enum
@@ -10,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
-from braidflow.fields import FieldError, typed
+from braidflow.fields import FieldError, col, distinct, typed
 from braidflow.operators.traps import Trapped
+from braidflow.plans.config import Config, Layer
 
 
 class SinkMode(Enum):
@@ -24,7 +27,11 @@ class SinkMode(Enum):
 
 @dataclass(frozen=True)
 class Tap:
-    """A location on any file system that Spark knows, in one of Spark's formats, with its options."""
+    """A location on any file system that Spark knows, in one of Spark's formats, with its options.
+
+    ``source`` is a class of the user's own that Spark reads and writes by (a Python data source); ``format`` is then its
+    name. ``layer`` has settings that hold while this tap is read or written in a flow.
+    """
 
     path: str
     format: str = "parquet"
@@ -34,9 +41,17 @@ class Tap:
     parts: int | None = None
     partition_by: Sequence[str] = ()
     max_records_per_file: int = 0
+    source: type | None = None
+    layer: Layer | None = None
+
+    def _format(self, spark: SparkSession) -> str:
+        if self.source is None:
+            return self.format
+        spark.dataSource.register(self.source)
+        return self.source.name()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        reader = spark.read.format(self.format).options(**self.options)
+        reader = spark.read.format(self._format(spark)).options(**self.options)
         if self.schema is not None:
             reader = reader.schema(self.schema)
         return reader.load(self.path)
@@ -45,23 +60,34 @@ class Tap:
         """The location as an unbounded source of files."""
         if self.schema is None:
             raise FieldError("a streamed source needs a schema")
-        return spark.readStream.format(self.format).options(**self.options).schema(self.schema).load(self.path)
+        return spark.readStream.format(self._format(spark)).options(**self.options).schema(self.schema).load(self.path)
 
     def prepared(self, df: DataFrame) -> DataFrame:
-        """The rows in as many parts as asked for; more parts than there are need a shuffle, fewer do not."""
+        """The rows dealt into as many parts as asked for, so that what comes before keeps its own number of tasks."""
         if self.parts is None:
             return df
         if self.parts < 1:
             raise FieldError(f"{self.parts} parts")
-        return df.coalesce(self.parts) if self.parts == 1 or df.rdd.getNumPartitions() >= self.parts else df.repartition(self.parts)
+        return df.repartition(self.parts)
 
     def write(self, df: DataFrame, *, ordered: bool = False) -> None:
         """Write the rows. ``ordered``: they come in the order to be kept, so their parts are left as they are."""
-        writer = (df if ordered else self.prepared(df)).write.format(self.format).options(**self.options).mode(self.mode.value)
+        writer = (df if ordered else self.prepared(df)).write.format(self._format(df.sparkSession)).options(**self.options).mode(self.mode.value)
         if self.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", self.max_records_per_file)
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).save(self.path)
 
+    def place(self, spark: SparkSession | None = None) -> str:
+        """Where this is, written one way: without a slash at the end, up to the first wildcard, and with a session as a
+        full address of its file system."""
+        plain = re.split(r"/[^/]*[*?\[{]", self.path)[0].rstrip("/") or "/"
+        if spark is not None:
+            path = spark._jvm.org.apache.hadoop.fs.Path(plain)
+            return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+        scheme, _, rest = plain.rpartition("://")
+        rest = posixpath.normpath(rest.removeprefix("file:"))
+        return rest if scheme in ("", "file") else f"{scheme}://{rest}"
+
     def _hadoop(self, spark: SparkSession):
         path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
@@ -104,7 +130,7 @@ class TextLine(Tap):
 
     def write(self, df: DataFrame, *, ordered: bool = False) -> None:
         names = self.source_fields or df.columns
-        line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]).alias("value")
+        line = F.concat_ws("\t", *[F.coalesce(col(c).cast("string"), F.lit("")) for c in names]).alias("value")
         super().write(df.select(line), ordered=ordered)
 
 
@@ -141,7 +167,10 @@ class TextDelimited(Tap):
         schema = _parse_datatype_string(self.schema) if isinstance(self.schema, str) else self.schema
         wide = StructType([*schema.fields, StructField(reason, StringType())])
         both = spark.read.options(**self._options(self.skip_header)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", reason).schema(wide).csv(self.path)
-        return Trapped(both.where(F.col(reason).isNull()).drop(reason), both.where(F.col(reason).isNotNull()))
+        # Spark refuses to read a record's text alone, so that depends on a field, of which it takes nothing.
+        beside = F.substring(F.coalesce(col(schema.fields[0].name).cast("string"), F.lit("")), 1, 0)
+        bad = both.withColumn(reason, F.concat(col(reason), beside))
+        return Trapped(both.where(col(reason).isNull()).drop(reason), bad.where(col(reason).isNotNull()))
 
     def write(self, df: DataFrame, *, ordered: bool = False) -> None:
         writer = (df if ordered else self.prepared(df)).write.options(**self._options(self.write_header)).mode(self.mode.value)
@@ -150,13 +179,29 @@ class TextDelimited(Tap):
 
 @dataclass(frozen=True)
 class Partitioned(Tap):
-    """A folder for each value of ``partition_by``. Rows are dealt by those fields first, so that no task holds many files open;
-    ``spread`` cuts each value's rows over that many tasks for values that hold much of the data."""
+    """A folder for each value of ``partition_by``, fields or ``expressions`` (SQL by name, which become fields of the folders).
+
+    Rows are dealt by those first; ``spread`` cuts each value's rows over that many tasks, by a hash of the row, for values
+    that hold much of the data. A task that has rows of many values all the same holds up to ``open_files`` files open
+    and sorts its rows beyond that.
+    """
 
     spread: int = 1
+    expressions: dict = field(default_factory=dict)
+    open_files: int = 0
 
     def prepared(self, df: DataFrame) -> DataFrame:
         if not self.partition_by:
             raise FieldError("no fields to partition by")
-        by: list[Column] = [F.col(c) for c in self.partition_by]
-        return df.repartition(*by, F.floor(F.rand(7) * self.spread)) if self.spread > 1 else df.repartition(*by)
+        distinct([*df.columns, *self.expressions])
+        df = df.withColumns({n: F.expr(e) if isinstance(e, str) else e for n, e in self.expressions.items()})
+        by: list[Column] = list(map(col, self.partition_by))
+        if self.spread > 1:
+            hashed = [col(f.name) for f in df.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+            by.append(F.pmod(F.xxhash64(*hashed), F.lit(self.spread)))
+        return df.repartition(*by)
+
+    def write(self, df: DataFrame, *, ordered: bool = False) -> None:
+        limit = Config({"spark.sql.maxConcurrentOutputFileWriters": str(self.open_files)}) if self.open_files else Config()
+        with limit.held(df.sparkSession):
+            super().write(df, ordered=ordered)

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from braidflow.fields import FieldError
+from braidflow.operators import rows
 from braidflow.operators.grouping import count_by, group_by
 from braidflow.operators.traps import trap
 from braidflow.plans.config import Config, Layer
@@ -39,8 +40,14 @@ def test_flow_with_trap_counters_and_modes(spark, numbers, tmp_path):
 
 
 def test_preview_runs_nothing(spark, numbers, tmp_path):
-    flow = Flow("f", {"n": numbers}, {"o": taps.parquet(str(tmp_path / "o"))}, lambda i, c: {"o": i["n"].where("id > 3")})
-    assert "PushedFilters" in flow.preview(spark)["o"] and not (tmp_path / "o").exists()
+    said = []
+
+    def assembly(inputs, context):
+        rows.debug(inputs["n"], "n", configured=context.debugging, show=said.append)
+        return {"o": context.checkpoint(inputs["n"].where("id > 3"), "cp")}
+
+    flow = Flow("f", {"n": numbers}, {"o": taps.parquet(str(tmp_path / "o"))}, assembly, checkpoints={"cp": taps.parquet(str(tmp_path / "cp"))}, debugging=rows.Level.STRICT)
+    assert "PushedFilters" in flow.preview(spark)["o"] and not (tmp_path / "o").exists() and not (tmp_path / "cp").exists() and not said
 
 
 def test_keep_and_update(spark, numbers, tmp_path):
@@ -67,6 +74,36 @@ def test_validation(spark, numbers, tmp_path):
         Flow("f", {"n": numbers}, {"o": out}, lambda i, c: {"o": i["n"], "p": i["n"]}).run(spark)
 
 
+def test_one_place_written_in_several_ways(spark, numbers, tmp_path):
+    at = numbers.path
+    for other in (at + "/", "file://" + at, at + "/./", at.replace("/in", "//in"), at + "/deeper", at + "/*.parquet"):
+        flow = Flow("f", {"n": taps.parquet(other)}, {"o": taps.parquet(at, mode=taps.SinkMode.REPLACE)}, lambda i, c: {"o": i["n"]})
+        with pytest.raises(FlowError):
+            flow.validate()
+        with pytest.raises(FlowError):
+            flow.run(spark)
+    with pytest.raises(FlowError):
+        Flow("f", {"n": numbers}, {"o": taps.parquet(str(tmp_path), mode=taps.SinkMode.REPLACE)}, lambda i, c: {"o": i["n"]}).run(spark)
+    assert numbers.read(spark).count() == 20
+    Flow("f", {"n": numbers}, {"o": taps.parquet(at + "2")}, lambda i, c: {"o": i["n"]}).run(spark)
+
+
+def test_counters_of_branches_that_did_not_run(spark, numbers, tmp_path):
+    def assembly(inputs, context):
+        context.counters.count(inputs["n"], "loose", rows="*")
+        return {"o": inputs["n"]}
+
+    stats = Flow("f", {"n": numbers}, {"o": taps.parquet(str(tmp_path / "o"))}, assembly).run(spark)
+    assert stats.counters == {"loose->rows": 0}
+
+
+def test_settings_of_a_tap(spark, numbers, tmp_path):
+    tap = taps.parquet(str(tmp_path / "o"), layer=Layer(replaces={"spark.sql.parquet.compression.codec": "gzip"}))
+    before = spark.conf.get("spark.sql.parquet.compression.codec")
+    Flow("f", {"n": numbers}, {"o": tap}, lambda i, c: {"o": i["n"]}).run(spark)
+    assert list((tmp_path / "o").glob("*.gz.parquet")) and spark.conf.get("spark.sql.parquet.compression.codec") == before
+
+
 def test_a_group_alone_is_no_result(spark, numbers, tmp_path):
     flow = Flow("f", {"n": numbers}, {"o": taps.parquet(str(tmp_path / "o"))}, lambda i, c: {"o": group_by(i["n"], "k")})
     with pytest.raises(FlowError, match="without an aggregator"):
@@ -128,8 +165,8 @@ def test_ordered_sink_keeps_order(spark, numbers, tmp_path):
     tap = taps.parquet(str(tmp_path / "o"), parts=1)
     tap.write(group_by(numbers.read(spark), "k", [("id", True)]).ordered(parts=3), ordered=True)
     for part in tmp_path.joinpath("o").glob("*.parquet"):
-        rows = [tuple(r) for r in spark.read.parquet(str(part)).select("k", "id").collect()]
-        assert rows == sorted(rows, key=lambda r: (r[0], -r[1]))
+        found = [tuple(r) for r in spark.read.parquet(str(part)).select("k", "id").collect()]
+        assert found == sorted(found, key=lambda r: (r[0], -r[1]))
 
 
 def test_delimited(spark, tmp_path):

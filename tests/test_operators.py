@@ -138,8 +138,7 @@ def test_join_plans(abc):
     assert "BroadcastHashJoin" in plan(joins.hash_join(ab, "k")) and "BroadcastHashJoin" in plan(joins.hash_join(ab, "k", "left"))
     assert "BroadcastExchange" not in plan(joins.hash_join({n: x.hint("merge") for n, x in ab.items()}, "k", limit=0))
     assert "BroadcastNestedLoopJoin" in plan(joins.cross(ab))
-    with pytest.raises(FieldError):
-        joins.cross(ab, limit=0)
+    assert joins.cross(ab, limit=0).count() == 12 and "Broadcast" not in plan(joins.cross({n: x.hint("shuffle_replicate_nl") for n, x in ab.items()}, limit=0))
 
 
 def test_chained_joins_and_groups_share_a_partitioning(abc):
@@ -222,3 +221,83 @@ def test_traps(spark):
     split = trapped_map(df, f, "n int")
     assert values(split.good) == [(1,), (1,)]
     assert {(r.s, r.trap_reason.split(":")[0]) for r in split.bad.collect()} == {("x", "ValueError"), (None, "TypeError")}
+
+
+BIG = 2**60 + 1
+
+
+def test_whole_numbers_stay_exact_beside_nulls(spark):
+    df = spark.createDataFrame([(1, BIG, True), (1, None, None), (2, -BIG, False)], "k int, v long, b boolean")
+    same = sorted([(1, BIG, True), (1, None, None), (2, -BIG, False)], key=str)
+    schema = "k int, v long, b boolean"
+    assert values(rows.opaque(df, lambda frames: frames, schema)) == same
+    assert values(group_by(df, "k", ["v"]).buffer(lambda key, frames: frames, schema)) == same
+    assert values(trapped_map(df, lambda row: [row], schema).good) == same
+
+    def both(key, first, others):
+        yield from first
+        yield from others[0]
+
+    for spill in (1, 100):
+        assert values(joins.buffer_join({"a": df, "b": df}, "v", both, schema, spill_rows=spill)) == sorted(same * 2, key=str)
+    one = joins.custom_join({"a": df, "b": df}, "v", lambda frames: (x[["a_v"]].rename(columns={"a_v": "v"}) for x in frames), "v long")
+    assert values(one) == sorted([(BIG,), (None,), (-BIG,)], key=str)
+
+
+def test_a_side_is_read_as_often_as_asked_for(spark):
+    left, right = spark.createDataFrame([(1,)], "k int"), spark.range(1000).select(F.lit(1).alias("k"), "id")
+
+    def f(key, first, others):
+        twice = [sum(int(x.id.sum()) for x in others[0]) for _ in range(2)]
+        yield pd.DataFrame({"n": [len(others[0])], "a": [twice[0]], "b": [twice[1]], "most": [int(others[0].whole().id.max())]})
+
+    for spill in (10, 10_000):
+        assert values(joins.buffer_join({"l": left, "r": right}, "k", f, "n long, a long, b long, most long", spill_rows=spill)) == [(1000, 499500, 499500, 999)]
+
+
+def test_values_of_other_types_are_trapped(spark):
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    split = trapped_map(df, lambda row: [{"n": "x" if row["a"] == 1 else 5}], "n int")
+    assert values(split.good) == [(5,)] and [r.a for r in split.bad.collect()] == [1]
+
+
+def test_names_of_all_kinds(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4), (1, 5, 6, 7)], "`a.b` int, `_key_0` int, `_rank` int, `c``d` int")
+    assert values(count_by(df, "a.b")) == [(1, 2)] and count_by(df, ["a.b", "c`d"]).columns == ["a.b", "c`d", "count"]
+    assert values(group_by(df, "_key_0", comparators={"_key_0": fn.rounded_to(10)}).every(n="count(*)")) == [(2, 2)]
+    assert group_by(df, "a.b", [("_rank", True)]).top(1).collect()[0] == (1, 5, 6, 7)
+    assert values(group_by(df, "a.b", ["c`d"]).buffer(lambda key, frames: frames, "`a.b` int, `_key_0` int, `_rank` int, `c``d` int")) == [(1, 2, 3, 4), (1, 5, 6, 7)]
+    assert values(group_by(df, NONE).every(_all="count(*)")) == [(2,)]
+    assert rows.rename(df, **{"a.b": "x"}).columns[0] == "x" and rows.project(df, ["c`d"]).columns == ["c`d"]
+    with pytest.raises(FieldError):
+        rows.each(df.select(F.lit(1).alias("v")), V="2")
+    with pytest.raises(FieldError):
+        trap(df, reason="_RANK", x="true")
+    with pytest.raises(FieldError):
+        group_by(df, "a.b").analytic(_Rank=lambda w: F.row_number().over(w))
+
+
+def test_join_names(spark):
+    left, right = spark.createDataFrame([(1, 2)], "b_c int, present int"), spark.createDataFrame([(1, 2)], "c int, `x.y` int")
+    got = joins.cogroup({"a": left, "q": right}, {"a": "b_c", "q": "c"}, "full")
+    assert got.columns == ["_key_0", "a_b_c", "a_present", "q_c", "q_x.y"] and values(got) == [(1, 1, 2, 1, 2)]
+    for inputs, flags in (({"a": left, "a_b": right}, False), ({"a": left, "q": right}, True)):
+        with pytest.raises(FieldError):
+            joins.cogroup(inputs, {n: 0 for n in inputs}, flags=flags)
+    assert values(joins.semi(right, right, "x.y")) == [(1, 2)]
+    one = spark.createDataFrame([(1,)], "`__run_key_0` int")
+    assert joins.cogroup({"_": one, "z": one}, 0).count() == 1
+
+
+def test_comparators_of_joins(spark):
+    a, b = spark.createDataFrame([("X", 1), (None, 2), ("q", 3)], "k string, v int"), spark.createDataFrame([("x", 5), (None, 6), ("Y", 7)], "k string, w int")
+    want = [("X", 1, 5), (None, 2, 6), ("q", 3, None), ("Y", None, 7)]
+    how = {"comparators": [fn.ignoring_case]}
+    assert values(joins.cogroup({"a": a, "b": b}, "k", "full", **how).select("_key_0", "a_v", "b_w")) == sorted(want, key=str)
+    assert values(joins.cogroup({"a": a, "b": b}, "k", "right", **how).select("_key_0", "a_v", "b_w")) == sorted([("x", 1, 5), (None, 2, 6), ("Y", None, 7)], key=str)
+    assert values(joins.hash_join({"a": a, "b": b}, "k", "left", **how).select("_key_0", "a_v", "b_w")) == sorted(want[:3], key=str)
+    with pytest.raises(FieldError):
+        joins.cogroup({"a": a, "b": b}, "k", comparators=[])
+    got = joins.buffer_join({"a": a, "b": b}, "k", lambda key, first, others: pd.DataFrame({"k": [key[0]], "n": [sum(map(len, first)) + len(others[0])]}), "k string, n int", **how)
+    assert values(got) == sorted([("x", 2), (None, 2), ("q", 1), ("y", 1)], key=str)
+    assert [r.k for r in total_sort(a, ("k", True, fn.ignoring_case)).collect()] == ["X", "q", None]

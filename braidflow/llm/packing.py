@@ -1,15 +1,16 @@
 """Packing of whole documents into windows of a fixed number of tokens, by best-fit decreasing.
 
-Documents are dealt by a hash of their id into groups of a bounded amount of
-text, so that one source or one set of copies spreads over all groups. Each
-group is encoded and packed on its own: a document longer than the window is
+Documents are dealt by a hash of their id, their text and the partition they come
+from into groups of a bounded amount of text, so that one source, one set of
+copies or one repeated row spreads over all groups. Each group is encoded and
+packed on its own: a document longer than the window is
 first cut into full windows; the rests are placed from the longest to the
 shortest, each into the open window with the least room that still holds it. A
 segment tree over remaining room (how many open windows have that room) finds
 that window in a logarithm of the window size.
 
-Only lengths and the group decide the placement, so a task that runs again gives
-the same rows. Null texts are empty documents (the end token alone); repeated
+Only what a group holds decides the placement, whatever order its rows come in,
+so a task that runs again gives the same rows. Null texts are empty documents (the end token alone); repeated
 ids are packed as separate documents in the order of their lengths and texts; an
 empty table gives no rows.
 """
@@ -24,10 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from braidflow.llm import encoding
-from braidflow.llm.common import batch
 
 WINDOW = 2048
-#: Characters of text for each group: what one task holds in memory at a time (a longer document is a group's alone).
+#: Characters of text for each group: what one task holds in memory at a time, on average (a document is never divided, so a longer one makes its group larger).
 GROUP_CHARS = 12_000_000
 
 _PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -87,46 +87,46 @@ def best_fit_decreasing(lengths: list[int], window: int) -> tuple[list[int], lis
     return sequences, offsets, n
 
 
+def cut(lengths: np.ndarray, order: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of documents of these lengths, one document's after another's: document, start, length, sequence, offset.
+
+    Full windows are sequences of their own; the rests, in ``order``, go where they fit best.
+    """
+    full, rest = lengths // window, lengths % window
+    pieces = full + (rest > 0)
+    doc = np.repeat(np.arange(len(lengths)), pieces)
+    start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
+    length = np.minimum(window, lengths[doc] - start)
+    sequence, offset = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+    whole = length == window
+    sequence[whole] = np.arange(whole.sum())
+    late = order[rest[order] > 0]
+    at = (np.cumsum(pieces) - 1)[late]  # a rest is its document's last piece
+    sequences, offsets, _ = best_fit_decreasing(rest[late].tolist(), window)
+    sequence[at], offset[at] = whole.sum() + np.array(sequences, np.int64), offsets
+    return doc, start, length, sequence, offset
+
+
 def pack(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, group_chars: int = GROUP_CHARS) -> DataFrame:
     """One row for each piece: doc_id, start, length, doc_tokens, sequence_id, offset and ids (unsigned 32-bit)."""
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chars = chosen.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(1, -(-chars // group_chars))
-    end = np.array([end_id], "<u4").tobytes()
 
     def packed(key, table: pa.Table) -> pa.Table:
-        group = key[0].as_py()
-        coder = encoding.encoder(tokenizer)
-        table = table.sort_by([("doc_id", "ascending")])
-        names, raw = table.column("doc_id").to_pylist(), []
-        for b in table.select(["text"]).to_batches(max_chunksize=512):
-            raw += coder.ids(b.column(0).to_pylist())
-        if len(set(names)) < len(names):
-            order = sorted(range(len(names)), key=lambda i: (names[i] is not None, names[i] or 0, len(raw[i]), raw[i]))
-            names, raw = [names[i] for i in order], [raw[i] for i in order]
-        rows = {n: [] for n in _ARROW.names}
-        rests: list[tuple[int, int, bytes, int]] = []
-        n = 0
-
-        def put(name, start, ids, tokens, sequence, offset):
-            for k, v in zip(_ARROW.names, (name, start, len(ids) // 4, tokens, (group << 32) | sequence, offset, ids), strict=True):
-                rows[k].append(v)
-
-        for name, ids in zip(names, raw, strict=True):
-            ids += end
-            tokens = len(ids) // 4
-            full = tokens // window
-            for k in range(full):
-                put(name, k * window, ids[4 * k * window : 4 * (k + 1) * window], tokens, n, 0)
-                n += 1
-            if tokens % window:
-                rests.append((name, full * window, ids[4 * full * window :], tokens))
-        sequences, offsets, _ = best_fit_decreasing([len(x[2]) // 4 for x in rests], window)
-        for (name, start, ids, tokens), sequence, offset in zip(rests, sequences, offsets, strict=True):
-            put(name, start, ids, tokens, n + sequence, offset)
-        return pa.Table.from_batches([batch(_ARROW, **rows)])
-
-    group = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.crc32(F.coalesce("text", F.lit("")).cast("binary"))), F.lit(groups))
+        group, column = key[0].as_py(), table.column("doc_id").combine_chunks()
+        flat, n = encoding.encoder(tokenizer).encode_table(table.column("text"), end_id)
+        known, name = np.asarray(column.is_valid()), column.fill_null(0).to_numpy(zero_copy_only=False)
+        order, at = np.lexsort((n, name, known)), np.cumsum(n) - n
+        if len(name) > 1 and (np.diff(name[order]) == 0).any():  # repeated ids: by what they hold, whatever order they came in
+            order = np.array(sorted(range(len(name)), key=lambda i: (known[i], name[i], n[i], flat[at[i] : at[i] + n[i]].tobytes())))
+        doc, start, length, sequence, offset = cut(n, order, window)
+        places = np.concatenate(([0], 4 * np.cumsum(length))).astype(np.int32)
+        ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(places), pa.py_buffer(flat.astype("<u4"))])
+        return pa.Table.from_arrays([column.take(pa.array(doc)), *map(pa.array, (start, length, n[doc], (group << 32) | sequence, offset)), ids], schema=_ARROW)
+
+    # Rows that repeat an id and a text are as many groups' as there are partitions they come from.
+    group = F.pmod(F.xxhash64("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")), F.spark_partition_id()), F.lit(groups))
     return chosen.withColumn("part", group).groupBy("part").applyInArrow(lambda key, table: packed(key, table), _PIECES)
 
 

@@ -5,7 +5,7 @@ streams by and stores its shards, one a row, in a Parquet folder below the
 shared folder; Spark's commit protocol decides which attempt of a task counts.
 ``read`` gives every document's ids back with the place of its first id in the
 whole sequence. Texts: null is empty. Repeated ids: each row is a document, in
-no fixed order among equals. Null ids come first. An empty table gives no shard.
+the order of a hash of the texts. Null ids come first. An empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -30,31 +30,36 @@ _DOC_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_token
 
 def write(docs: DataFrame, tokenizer: str, at: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, shard_ids: int = SHARD_IDS, percentile: float = pfor.PERCENTILE) -> str:
     """Write the shards of ``docs`` to the folder ``at``; a shard ends once it has ``shard_ids`` ids."""
-    end = np.array([end_id], "<u4").tobytes()
 
     def shards(batches):
         coder, part, before = encoding.encoder(tokenizer), TaskContext.get().partitionId(), 0
-        names, parts, held = [], [], 0
+        names, lengths, parts, held = [], [], [], 0
 
         def closed():
-            lengths = np.array([len(x) // 4 for x in parts], np.int64)
-            raw = pfor.encode_shard(names, lengths, np.frombuffer(b"".join(parts), "<u4"), percentile)
+            raw = pfor.encode_shard(names, np.concatenate(lengths), np.concatenate(parts), percentile)
             return batch(_SHARD_ARROW, part=[part], before=[before], docs=[len(names)], ids=[held], payload=[raw])
 
-        for b in pieces(batches):
-            for name, ids in zip(b.column(0).to_pylist(), coder.ids(b.column(1).to_pylist()), strict=True):
-                names.append(name)
-                parts.append(ids + end)
-                held += len(ids) // 4 + 1
+        for b in pieces(batches, 4096):
+            flat, n = coder.encode_table(b.column(1), end_id)
+            ends, own, at = np.cumsum(n), b.column(0).to_pylist(), 0
+            while at < len(n):
+                done = ends[at - 1] if at else 0
+                to = min(len(n), int(np.searchsorted(ends, done + shard_ids - held)) + 1)
+                names += own[at:to]
+                lengths.append(n[at:to])
+                parts.append(flat[done : ends[to - 1]])
+                held, at = held + int(ends[to - 1] - done), to
                 if held >= shard_ids:
                     yield closed()
-                    names, parts, held, before = [], [], 0, before + held
+                    names, lengths, parts, held, before = [], [], [], 0, before + held
         if names:
             yield closed()
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ordered = chosen.repartitionByRange(F.asc("doc_id")).sortWithinPartitions("doc_id")
-    ordered.mapInArrow(shards, _SHARD).write.option("compression", "none").parquet(at)
+    # Rows of one id go by their text's hash and may be divided between tasks, even where the text is one, by where they come from.
+    marked = chosen.withColumns({"hash": F.xxhash64("text"), "origin": F.spark_partition_id()})
+    ordered = marked.repartitionByRange(F.asc("doc_id"), F.asc("hash"), F.asc("origin")).sortWithinPartitions("doc_id", "hash")
+    ordered.select("doc_id", "text").mapInArrow(shards, _SHARD).write.option("compression", "none").parquet(at)
     return at
 
 

@@ -14,7 +14,7 @@ PARTS = st.sampled_from(["a", "the", " the", "'s", "É", "é", "ß", "Σ", "İ"
 
 @pytest.fixture(scope="module", params=FILES)
 def coder(request):
-    return encoding.WordEncoder(encoding.default_path(request.param), cached_words=50)
+    return encoding.WordEncoder(encoding.default_path(request.param), cached_words=50, slice_bytes=40)
 
 
 @settings(max_examples=300, deadline=None)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -12,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from braidflow.sources.scratch import remove, scratch
+
 #: Word bytes: 0-9, a-z (texts are lower-cased in A-Z first) and every byte of a character beyond ASCII.
 WORD_BYTES = rb"[0-9a-z\x80-\xff]+"
 
@@ -22,22 +22,23 @@ _LOWER[65:91] += 32
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder that the driver and all executors share: below ``spark.checkpoint.dir``.
-
-    Only where that setting is empty (as in tests) a temporary folder takes its place.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or ""
-    if not base:
-        base = tempfile.mkdtemp(prefix="braidflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder that the driver and all executors share: below ``spark.checkpoint.dir``."""
+    return scratch(spark, name)
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
     """The rows written to a shared folder and read again: cuts the lineage and survives lost executors."""
     at = shared_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    out = df.sparkSession.read.schema(df.schema).parquet(at)
+    out.settled_at = at
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of settled tables that nothing will read any more."""
+    for df in tables:
+        remove(df.sparkSession, df.settled_at)
 
 
 def doc_crc(doc_id: Column) -> Column:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from braidflow.llm.common import settled
+from braidflow.llm.common import forget, settled
 
 #: Parts in which the edges of one node are joined.
 SALTS = 8
 
 
 def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo")), F.sum("lo").cast("string")).first())
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo")), F.bit_xor(F.xxhash64("lo", "hi"))).first())
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = salted.join(moved, ["lo", "salt"], "left").select("hi", F.coalesce("m", "lo").alias("lo")).distinct()
         small = large.groupBy("hi").agg(F.min("lo").alias("m"))
         pulled = large.join(small, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        now = settled(pulled.unionAll(small.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
+        last, now = now, settled(pulled.unionAll(small.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
+        forget(last)
         after = _mark(now)
         if after == before:
             break

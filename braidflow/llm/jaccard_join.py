@@ -1,28 +1,36 @@
-"""N-gram Jaccard join: banded MinHash finds candidates, exact verification decides.
-
-Texts are sets of five-word shingles. Texts with equal sets form one class of
-copies, and only its smallest id takes part in the search. Every tree gives a
-text a prefix of a signature of minima, hashed to one key. The prefix has one
-length for all texts: the longest, up to the full depth, that two texts at the
-threshold share in some tree with the target recall. These are bands, not sorted
-tries, and no prefix adapts to the data. Texts of equal prefixes are linked to the
-smallest one, and the connected components of these links are the candidate
-groups: whatever shares a prefix in any tree is in one group.
-
-Within a group all pairs of different texts are verified exactly, and no pair
-leaves the task that verifies it: it returns each text's number of links and a
-spanning set of links. A group of more text than one task should hold is cut
-into blocks, and every two blocks meet in one task.
+"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact verification decides.
+
+Texts are sets of five-word shingles. Texts with equal sets are one node, and
+only the text of its smallest id takes part in the search. Each of ``TREES``
+trees gives a node a signature of ``DEPTH`` labels, made of its minima. The forest
+is the table of all signatures, sorted by tree and signature, so that a prefix
+trie is a run of rows and a node of the trie a run of equal prefixes.
+
+Matching prefixes are shortened step by step from the full depth. All trees are
+shortened together until two texts just at the threshold share a prefix in some
+tree with the target recall (``prefix_length``). From there each tree is shortened
+on its own, place by place: where the next shorter prefix is shared by no more
+than ``SPARSE`` texts, it is taken, down to ``SHORTEST`` labels. So prefixes stay
+long where texts crowd and become short where they are few, which raises the
+recall beyond its target at little cost.
+
+What shares a chosen prefix is a candidate group. Groups of different trees with
+the same members count once. Within a group the pairs that share no prefix in an
+earlier tree are verified exactly, so each pair of candidates is verified once,
+and only pairs that share a prefix are. No pair leaves the task that verifies it:
+it returns each text's number of links and a spanning set of links. A group of
+more text than one task should hold is cut into blocks, and every two blocks meet
+in one task.
 
 Result: one row for each document: doc_id, class_id (the smallest document it is
 linked to directly or over others; its own id without links), copy_of (the
-smallest document with the same shingles) and n_links (how many other classes of
-copies have a Jaccard similarity of at least the threshold with it).
+smallest document with the same shingles) and n_links (how many other sets of
+shingles have a Jaccard similarity of at least the threshold with its own).
 
 A text of fewer than five words is one shingle of all its words. Texts without a
 word (null and empty ones too) have no links. A null id gives a row with null
-ids and no links. Rows that repeat an id count as one document; if their texts
-differ, links of any of them count. An empty table gives no rows.
+ids and no links. Rows that repeat an id are a row each, by their own text. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,21 +41,30 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from braidflow.llm.common import batch, mix64, pieces, settled, shingle_hashes, text_bytes, word_hashes
+from braidflow.fields import fresh as fresh_name
+from braidflow.fields import quoted
+from braidflow.llm.common import batch, forget, mix64, pieces, settled, shingle_hashes, text_bytes, word_hashes
 from braidflow.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES = 32
-DEPTH = 12
+TREES = 24
+DEPTH = 10
+SHORTEST = 3
 RECALL = 0.999
+#: Texts that may share a prefix shorter than the recall asks for.
+SPARSE = 4
 #: Shingles (and 400 for each text) in one block of a candidate group.
-BLOCK = 400_000
+BLOCK = 100_000
 TEXT_WEIGHT = 400
 
-_SKETCH = "doc_id long, f1 long, f2 long, n long, keys array<long>"
-_SKETCH_ARROW = pa.schema([("doc_id", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
+#: Bytes of a label.
+LABEL = 2
+
+_SKETCH = "doc_id long, f1 long, f2 long, n long, sig binary"
+_SKETCH_ARROW = pa.schema([("doc_id", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("n", pa.int64()), ("sig", pa.binary())])
 _LINK_ARROW = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
 
 
@@ -63,43 +80,69 @@ def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(text), size))
 
 
-class Forest:
-    def __init__(self, trees: int, prefix: int):
-        self.trees, self.prefix = trees, prefix
-        draw = mix64(np.arange(1, 2 * trees * prefix + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        self.a, self.b = (draw[: trees * prefix] | np.uint64(1))[:, None], draw[trees * prefix :][:, None]
+def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set of shingles; the first 64 number its node."""
+    f1, f2 = mix64(shingles).sum(dtype=np.uint64), mix64(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
+    return int(f1.view(np.int64)), int(f2.view(np.int64))
+
+
+class Signer:
+    def __init__(self, trees: int, depth: int):
+        self.trees, self.depth, n = trees, depth, trees * depth
+        draw = mix64(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        self.a, self.b = (draw[:n] | np.uint64(1))[:, None], draw[n:][:, None]
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """For each tree a 64-bit value for the prefix of the signature."""
-        low = np.full(self.trees * self.prefix, np.iinfo(np.uint64).max, np.uint64)
+    def sign(self, shingles: np.ndarray) -> bytes:
+        """The labels of all trees, one tree's after another's."""
+        low = np.full(self.trees * self.depth, np.iinfo(np.uint64).max, np.uint64)
         for at in range(0, len(shingles), 1024):
             x = self.a * shingles[None, at : at + 1024]
             x += self.b
             np.minimum(low, x.min(1), out=low)
-        labels, key = low.reshape(self.trees, self.prefix), np.arange(self.trees, dtype=np.uint64)
-        for j in range(self.prefix):
-            key = mix64(key * np.uint64(0xD1342543DE82EF95) + labels[:, j])
-        return key.view(np.int64)
+        return (mix64(low) >> np.uint64(64 - 8 * LABEL)).astype(">u2").tobytes()
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, forest: Forest) -> DataFrame:
-    """For each row: id, a 128-bit fingerprint of its set of shingles, their number and the trees' keys."""
+def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, signer: Signer) -> DataFrame:
+    """For each row: id, a 128-bit fingerprint of its set of shingles, their number and the signature."""
 
     def sketch(batches):
         for b in pieces(batches):
             rows = []
             for name, text in zip(b.column(0).to_pylist(), text_bytes(b.column(1)), strict=True):
                 own = shingle_set(text, size)
-                if not len(own) or name is None:
-                    rows.append((name, 0, 0, 0, None))
-                    continue
-                f1, f2 = mix64(own).sum(dtype=np.uint64), mix64(own ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
-                rows.append((name, int(f1.view(np.int64)), int(f2.view(np.int64)), len(own), forest.keys(own)))
+                rows.append((name, 0, 0, 0, None) if not len(own) or name is None else (name, *fingerprint(own), len(own), signer.sign(own)))
             yield batch(_SKETCH_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_SKETCH_ARROW.names)})
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(sketch, _SKETCH)
 
 
+def grow(nodes: DataFrame, trees: int, depth: int) -> DataFrame:
+    """The forest: node, n, tree and signature, sorted by tree and signature over all partitions."""
+    rows = nodes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    rows = rows.select("node", "n", "tree", F.col("sig").substr(F.col("tree") * (LABEL * depth) + 1, F.lit(LABEL * depth)).alias("sig"))
+    # A prefix that many texts share is divided between partitions by their numbers.
+    return rows.repartitionByRange("tree", "sig", "node").sortWithinPartitions("tree", "sig", "node")
+
+
+def groups_of(forest: DataFrame, longest: int, shortest: int, sparse: int) -> DataFrame:
+    """The candidate groups: node, n, tree and group (a number for the tree's prefix), for prefixes that two texts share at least."""
+    rows = forest
+    for d in range(shortest, longest + 1):  # how many share the prefix of d labels; who is alone at one length is so at longer ones
+        prefix = F.col("sig").substr(1, LABEL * d)
+        runs = rows.groupBy("tree", prefix.alias("prefix")).agg(F.count("*").alias(f"n{d}"))
+        if d == shortest:
+            runs = runs.where(F.col(f"n{d}") > 1)
+        rows = rows.withColumn("prefix", prefix).join(runs, ["tree", "prefix"]).drop("prefix")
+        if d == shortest:
+            rows = settled(rows.distinct(), "shared")
+    taken = F.lit(longest)
+    for d in range(longest - 1, shortest - 1, -1):  # the shortest that only few share
+        taken = F.when(F.col(f"n{d}") <= sparse, d).otherwise(taken)
+    rows = rows.withColumn("taken", taken)
+    members = F.coalesce(*[F.when(F.col("taken") == d, F.col(f"n{d}")) for d in range(shortest, longest + 1)])
+    return rows.where(members > 1).select("node", "n", "tree", F.xxhash64("tree", "taken", F.expr(f"substr(sig, 1, {LABEL} * taken)")).alias("group"))
+
+
 def similar(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which pairs of the sets reach the threshold, as a symmetric matrix with an empty diagonal."""
     m, sizes = len(sets), np.array([len(s) for s in sets])
@@ -162,70 +205,107 @@ def spanning(nodes: list[int], near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+def links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, shortest: int = SHORTEST, sparse: int = SPARSE, block: int = BLOCK) -> DataFrame:
     """The join: doc_id, class_id, copy_of, n_links for every row of ``docs``."""
-    forest = Forest(trees, prefix_length(threshold, trees, depth, recall))
-    base = settled(sketches(docs, id_col, text_col, size, forest), "sketches")
+    return _joined(docs, id_col, text_col, size, threshold, trees, depth, recall, shortest, sparse, block).select("doc_id", "class_id", "copy_of", "n_links")
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, trees: int, depth: int, recall: float, shortest: int, sparse: int, block: int) -> DataFrame:
+    """The join's rows with the fingerprints of their texts."""
+    longest = prefix_length(threshold, trees, depth, recall)
+    shortest = min(shortest, longest)
+    base = settled(sketches(docs, id_col, text_col, size, Signer(trees, depth)), "sketches")
     usable = base.where("n > 0")
-    heads = settled(usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("node")), "heads")
-    keyed = usable.select("doc_id", "f1", "f2", "keys").join(heads.select("f1", "f2", F.col("node").alias("doc_id")), ["doc_id", "f1", "f2"])
-    prefixes = settled(keyed.select(F.col("doc_id").alias("node"), F.posexplode("keys").alias("tree", "key")), "prefixes")
-    runs = prefixes.groupBy("tree", "key").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1")
-    groups = settled(components(prefixes.join(runs, ["tree", "key"]).select("node", "least"), "node", "least"), "groups")
-
-    # Groups in blocks: their weight decides how many, a hash of the node decides which.
-    weights = usable.groupBy("doc_id").agg(F.max("n").alias("n")).join(groups, F.col("doc_id") == F.col("node")).select("node", "component", "n")
-    blocks = weights.groupBy("component").agg(F.ceil(F.sum(F.col("n") + TEXT_WEIGHT) / block).alias("blocks"))
-    members = weights.select("node", "component").join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    cells = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cells = cells.select("node", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(cells, "node").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
+    heads = settled(usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")), "heads")
+    signed = usable.select("f1", "f2", F.col("doc_id").alias("first"), "sig").join(heads, ["f1", "f2", "first"])
+    forest = settled(grow(signed.select(F.col("f1").alias("node"), "n", "sig"), trees, depth), "forest")
+    members = settled(groups_of(forest, longest, shortest, sparse), "members")
+
+    # Groups of the same texts in several trees: the first tree's stands for all.
+    found = members.groupBy("tree", "group").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.col("n") + TEXT_WEIGHT).alias("weight"))
+    kept = found.groupBy("m", "x").agg(F.min(F.struct("tree", "group", "weight")).alias("one")).select("one.tree", "one.group", F.ceil(F.col("one.weight") / block).alias("blocks"))
+    placed = members.join(kept, ["tree", "group"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = cells.select("node", "tree", "group", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    # Each node's groups in all trees, no more than there are trees, tell which pairs have met before.
+    every = members.groupBy("node").agg(F.map_from_entries(F.collect_set(F.struct("tree", "group"))).alias("groups"))
+    texts = docs.select(F.col(id_col).cast("long").alias("first"), F.col(text_col).cast("string").alias("text"))
+    wanted = every.join(heads.select(F.col("f1").alias("node"), "first"), "node")
+    whole = settled(texts.join(wanted, "first").select("node", F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.coalesce(F.col("groups")[t], F.lit(0).cast("long"))).alias("groups"), "text"), "texts")
+    rows = whole.join(cells, "node").repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "node")
 
     def verify(batches):
-        held: list[tuple[int, int, np.ndarray]] = []
+        held: list[tuple[int, int, np.ndarray, list[int]]] = []
         cell = None
 
         def closed():
-            sets: dict[int, list] = {}
-            for node, own, s in held:
-                if node in sets:  # an id with several texts stands for all their shingles
-                    sets[node][1] = np.union1d(sets[node][1], s)
-                else:
-                    sets[node] = [own, s]
-            nodes = list(sets)
-            near = similar([sets[n][1] for n in nodes], threshold)
+            nodes, side, sets, met = (list(c) for c in zip(*held, strict=True))
+            met, side = np.array(met, np.int64), np.array(side)
+            fresh = np.ones((len(nodes), len(nodes)), bool)
+            for t in range(cell[3]):  # pairs that an earlier tree has together
+                fresh &= (met[:, t, None] != met[None, :, t]) | (met[:, t, None] == 0)
             if cell[1] != cell[2]:
-                side = np.array([sets[n][0] for n in nodes])
-                near &= side[:, None] != side[None, :]
-            counts = near.sum(1)
-            out = [(n, None, int(c)) for n, c in zip(nodes, counts, strict=True) if c] + [(a, b, 0) for a, b in spanning(nodes, near)]
+                fresh &= side[:, None] != side[None, :]
+            np.fill_diagonal(fresh, False)
+            some = np.flatnonzero(fresh.any(1))
+            if len(some) < 2:
+                return None
+            near = similar([sets[k] for k in some], threshold) & fresh[np.ix_(some, some)]
+            nodes = [nodes[k] for k in some]
+            out = [(n, None, int(c)) for n, c in zip(nodes, near.sum(1), strict=True) if c] + [(a, b, 0) for a, b in spanning(nodes, near)]
             return batch(_LINK_ARROW, node=[x[0] for x in out], other=[x[1] for x in out], links=[x[2] for x in out])
 
         for b in pieces(batches):
-            c = [b.column(k).to_pylist() for k in ("component", "i", "j", "own", "node")]
-            for component, i, j, own, node, text in zip(*c, text_bytes(b.column("text")), strict=True):
-                if cell != (component, i, j):
-                    if held:
-                        yield closed()
-                    held, cell = [], (component, i, j)
-                held.append((node, own, shingle_set(text, size)))
-        if held:
-            yield closed()
-
-    verified = settled(rows.select("component", "i", "j", "own", "node", "text").mapInArrow(verify, "node long, other long, links long"), "links")
+            c = [b.column(k).to_pylist() for k in ("group", "i", "j", "tree", "own", "node", "groups")]
+            for group, i, j, tree, own, node, groups, text in zip(*c, text_bytes(b.column("text")), strict=True):
+                if cell != (group, i, j, tree):
+                    if held and (out := closed()) is not None:
+                        yield out
+                    held, cell = [], (group, i, j, tree)
+                if held and held[-1][0] == node:
+                    continue  # a repeated row
+                own_set = shingle_set(text, size)
+                if len(own_set) and fingerprint(own_set)[0] == node:  # else another text of the same id
+                    held.append((node, own, own_set, groups))
+        if held and (out := closed()) is not None:
+            yield out
+
+    verified = settled(rows.select("group", "i", "j", "tree", "own", "node", "groups", "text").mapInArrow(verify, "node long, other long, links long"), "links")
+    forget(forest, members, whole)
     counts = verified.where("other is null").groupBy("node").agg(F.sum("links").alias("n_links"))
     classes = components(verified.where("other is not null").select("node", "other"), "node", "other")
-    known = heads.join(classes, "node", "left").join(counts, "node", "left").select("f1", "f2", "node", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    joined = base.select("doc_id", "f1", "f2", "n").join(known, ["f1", "f2"], "left")
-    with_words = F.col("n") > 0
-    return joined.select("doc_id", F.when(with_words, F.col("component")).otherwise(F.col("doc_id")).alias("class_id"), F.when(with_words, F.col("node")).otherwise(F.col("doc_id")).alias("copy_of"), F.when(with_words, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"))
+    firsts = classes.join(heads.select(F.col("f1").alias("node"), "first"), "node")
+    least = firsts.groupBy("component").agg(F.min("first").alias("class_id"))
+    linked = classes.join(least, "component").select(F.col("node").alias("f1"), "class_id").join(counts.withColumnRenamed("node", "f1"), "f1")
+    known = heads.join(linked, "f1", "left").select("f1", "f2", F.col("first").alias("copy_of"), F.coalesce("class_id", "first").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    with_words = usable.select("doc_id", "f1", "f2").join(known, ["f1", "f2"]).select("doc_id", "class_id", "copy_of", "n_links", "f1", "f2")
+    return with_words.unionAll(base.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("f1"), F.lit(None).cast("long").alias("f2")))
 
 
 def drop_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's stage: of each class one document stays, that with the smallest id; all columns are kept."""
-    gone = links(docs).where("doc_id != class_id").select(F.col("doc_id").alias("_copy_id")).distinct()
-    return docs.join(gone, docs.doc_id == gone._copy_id, "left_anti")
+    """The pipeline's stage: of each class one document stays, that with the smallest id; all columns are kept.
+
+    Rows that repeat an id go and stay each by its own text, and of equal ones that would stay one does. Rows without a
+    word and rows without an id stay.
+    """
+    found = settled(_joined(docs, "doc_id", "text", SHINGLE, THRESHOLD, TREES, DEPTH, RECALL, SHORTEST, SPARSE, BLOCK).where("f1 is not null"), "classes")
+    several = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    gone = found.where("doc_id != class_id").select("doc_id").unionAll(several).distinct()
+    alone = docs.join(gone.withColumnRenamed("doc_id", (name := fresh_name("gone", docs.columns))), F.expr(f"cast(doc_id as long) = {name}"), "left_anti")
+    if several.isEmpty():
+        return alone
+    f1, f2, schema = fresh_name("f1", docs.columns), fresh_name("f2", docs.columns), docs.schema
+    again = docs.join(several.withColumnRenamed("doc_id", name), F.expr(f"cast(doc_id as long) = {name}"), "left_semi")
+
+    def told(batches):
+        for b in pieces(batches):
+            prints = [fingerprint(x) if len(x := shingle_set(t)) else (None, None) for t in text_bytes(b.column("text"))]
+            yield b.append_column(f1, pa.array([x for x, _ in prints], pa.int64())).append_column(f2, pa.array([x for _, x in prints], pa.int64()))
+
+    rows = again.mapInArrow(told, StructType([*schema.fields, StructField(f1, LongType()), StructField(f2, LongType())]))
+    least = found.where("doc_id = class_id").groupBy("class_id").agg(F.min(F.struct("f1", "f2")).alias("one")).select(F.col("one.f1").alias(f1), F.col("one.f2").alias(f2), F.col("class_id").alias(name))
+    stay = rows.join(least, [f1, f2]).where(F.expr(f"cast(doc_id as long) = {name}")).dropDuplicates([f1, f2])
+    return alone.unionAll(stay.select(*[F.col(quoted(c)) for c in docs.columns])).unionAll(rows.where(F.col(f1).isNull()).select(*[F.col(quoted(c)) for c in docs.columns]))
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -12,11 +12,13 @@ end token for each text. The work goes through blocks of texts:
    dealt by hash to S x S slots in S further classes, S the cube root of their
    number, so that a slot has about S tokens however large the corpus is; within
    its slot a token is a leaf;
-4. each task trains classes and contexts on its share of the training texts, and
-   the parameters are averaged by number of tokens (``ROUNDS`` times);
-5. all places where a token of one of the S classes stands meet in one task, which
-   trains vectors for the class's slots and for every single token in them, the
-   contexts being those of step 4;
+4. texts are dealt by hash into shards of about ``SHARD_TOKENS`` tokens; each shard
+   trains a copy of classes and contexts, and the copies are averaged by number of
+   tokens (``ROUNDS`` times, after a first round over one shard in ``WARM``);
+5. all places where a token of one of the S classes stands meet, in replicas of
+   about ``CLASS_PLACES`` places told by a hash of the text. Each replica trains
+   vectors for the class's slots and for every single token in them, the contexts
+   being those of step 4, and scores the places it holds;
 6. scoring multiplies contexts with all output vectors of a class's level, so every
    probability is normalised exactly by matrix products: over the classes, over
    the slots of a class and over the tokens of a slot.
@@ -27,6 +29,9 @@ its own and any other that of its slot. Noise words are drawn from the training
 frequencies, ``NOISE`` for each mini-batch. A token that no training text holds is
 leaf 0 of its slot, which counts as one occurrence.
 
+What is learnt is ordered by its content before it is shuffled, so scores do not
+depend on how the rows were dealt to tasks, but for rounding.
+
 Null texts are empty: the end token alone. Repeated ids: a row for each. Without
 any training text all counts are 0 and the one class has probability 1. An empty
 table gives no rows.
@@ -34,101 +39,139 @@ table gives no rows.
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from braidflow.llm.common import batch, doc_crc, pieces, settled, text_bytes
+from braidflow.llm.common import batch, doc_crc, forget, mix64, pieces, settled
 
 BLOCK_TOKENS = 4_000_000
-CLASSES = 1023
+BLOCK_BYTES = 64 << 20
+#: Tokens whose places are sorted by class at a time.
+PLACES_TOKENS = 1_000_000
+CLASSES = 255
 WIDTH = 24
 NOISE = 64
 ROUNDS = 1
+#: Tokens of a shard of the training texts, on average, that one copy of the classes and contexts is trained on.
+SHARD_TOKENS = 2_500_000
+#: One in so many shards gives the parameters that the first round starts from.
+WARM = 8
+#: Places of a class, on average, that one replica of it is trained on and scores.
+CLASS_PLACES = 2_000_000
 MINI_BATCH = 2048
 #: Stands for the end of a text; no word can hold it.
 END = b"\n"
 
-_CODED = "block long, doc_id long, train boolean, ids binary, tokens long, token binary, local int, n long"
-_CODED_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("ids", pa.binary()), ("tokens", pa.int64()), ("token", pa.binary()), ("local", pa.int32()), ("n", pa.int64())])
-_CLASSED = "block long, doc int, doc_id long, train boolean, n_tokens long, n_known long, base_score double, codes binary, leaves binary"
-_CLASSED_ARROW = pa.schema([("block", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("codes", pa.binary()), ("leaves", pa.binary())])
+_CODED = "block long, doc_id long, hash long, train boolean, ids binary, tokens long, token binary, local int, n long"
+_CODED_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("train", pa.bool_()), ("ids", pa.binary()), ("tokens", pa.int64()), ("token", pa.binary()), ("local", pa.int32()), ("n", pa.int64())])
+_CLASSED = "block long, doc int, doc_id long, hash long, train boolean, n_tokens long, n_known long, base_score double, codes binary, leaves binary"
+_CLASSED_ARROW = pa.schema([("block", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("codes", pa.binary()), ("leaves", pa.binary())])
+
+
+_PRESS, _UNPRESS = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def press(raw: bytes) -> bytes:
+    return _PRESS.compress(raw)
+
+
+def unpress(raw: bytes) -> bytes:
+    return _UNPRESS.decompress(raw)
 
 
 def packed(x: np.ndarray) -> bytes:
     """32-bit values, all their first bytes before all their second ones, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    return _PRESS.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_UNPRESS.decompress(raw), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return text.lower().split()
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[32, *range(9, 14)]] = False
+
+
+def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all words of the texts one after another, each word's length, and how many words each text has."""
+    column = column.cast(pa.large_binary())
+    column = column.fill_null(b"") if column.null_count else column
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = _LOWER[np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]]
+    offsets = offsets - offsets[0]
+    inside = _IN_WORD[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = offsets[:-1][offsets[:-1] < len(data)]
+    begins[first] = inside[first]  # words end with their text
+    starts = np.flatnonzero(begins)
+    before = np.cumsum(inside)
+    at = before[starts] - 1
+    return data[inside], np.diff(np.append(at, int(before[-1]) if len(before) else 0)), np.diff(np.searchsorted(starts, offsets))
 
 
 def coded(docs: DataFrame, train: Column, id_col: str, text_col: str, block_tokens: int) -> DataFrame:
     """Rows of texts (ids in their block's dictionary, packed) and rows of dictionaries (token, its number, its training count)."""
 
     def code(batches):
-        press, part, seq = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId(), 0
-        index, texts, held = None, [], 0
+        part, seq, names, hashes, trains, held, size, raw = TaskContext.get().partitionId(), 0, [], [], [], [], 0, 0
 
         def closed():
             block = (part << 32) | seq
-            counts = np.zeros(len(index), np.int64)
-            for _, _, t, ids in texts:
-                if t:
-                    counts += np.bincount(ids, minlength=len(index)) if len(ids) > len(index) // 8 else 0
-                    if len(ids) <= len(index) // 8:
-                        np.add.at(counts, ids, 1)
-            none, words = [None] * len(texts), list(index)
-            yield batch(_CODED_ARROW, block=[block] * len(texts), doc_id=[x[1] for x in texts], train=[x[2] for x in texts], ids=[press.compress(x[3].tobytes()) for x in texts], tokens=[len(x[3]) for x in texts], token=none, local=none, n=none)
+            data, lengths, per = (np.concatenate([x[k] for x in held]) for k in range(3))
+            places = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+            own = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(places), pa.py_buffer(data)]).dictionary_encode()
+            ends = np.cumsum(per + 1)
+            ids = np.full(len(lengths) + len(per), len(own.dictionary), np.uint32)  # the end of a text comes after the words
+            word = np.ones(len(ids), bool)
+            word[ends - 1] = False
+            ids[word] = own.indices.to_numpy()
+            counts = np.bincount(ids[np.repeat(np.array(trains, bool), per + 1)], minlength=len(own.dictionary) + 1)
+            none = [None] * len(names)
+            yield batch(_CODED_ARROW, block=[block] * len(names), doc_id=names, hash=hashes, train=trains, ids=[press(ids[a:z].tobytes()) for a, z in zip((ends - per - 1).tolist(), ends.tolist(), strict=True)], tokens=per + 1, token=none, local=none, n=none)
+            words = [*own.dictionary.to_pylist(), END]
             for at in range(0, len(words), 50_000):
                 some = words[at : at + 50_000]
                 none = [None] * len(some)
-                yield batch(_CODED_ARROW, block=[block] * len(some), doc_id=none, train=none, ids=none, tokens=none, token=some, local=np.arange(at, at + len(some)), n=counts[at : at + len(some)])
-
-        for b in pieces(batches):
-            for name, t, text in zip(b.column("doc_id").to_pylist(), b.column("train").to_pylist(), text_bytes(b.column("text")), strict=True):
-                if index is None:
-                    index = defaultdict()
-                    index.default_factory = index.__len__
-                own = tokens(text)
-                own.append(END)
-                texts.append((seq, name, t, np.fromiter(map(index.__getitem__, own), np.uint32, len(own))))
-                held += len(own)
-                if held >= block_tokens:
-                    yield from closed()
-                    index, texts, held, seq = None, [], 0, seq + 1
-        if texts:
+                yield batch(_CODED_ARROW, block=[block] * len(some), doc_id=none, hash=none, train=none, ids=none, tokens=none, token=some, local=np.arange(at, at + len(some)), n=counts[at : at + len(some)])
+
+        for b in pieces(batches, 256):
+            names += b.column("doc_id").to_pylist()
+            hashes += b.column("hash").to_pylist()
+            trains += b.column("train").to_pylist()
+            held.append(words_of(b.column("text")))
+            size, raw = size + len(held[-1][1]) + b.num_rows, raw + len(held[-1][0])
+            if size >= block_tokens or raw >= BLOCK_BYTES:
+                yield from closed()
+                names, hashes, trains, held, size, raw, seq = [], [], [], [], 0, 0, seq + 1
+        if names:
             yield from closed()
 
     chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), train.alias("train"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(code, _CODED)
+    return chosen.withColumn("hash", F.xxhash64("doc_id", "text")).mapInArrow(code, _CODED)
 
 
 def classed(texts: DataFrame, words: DataFrame, total: int, distinct: int) -> DataFrame:
     """For each text the base score, the codes of its tokens (class or, after the classes, slot) and the leaves of those in slots."""
 
     def join(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        unpress = zstandard.ZstdDecompressor()
         local = right.column("local").to_numpy()
         count, code, leaf = (np.zeros(len(local), t) for t in (np.int64, np.uint32, np.uint32))
         count[local], code[local], leaf[local] = (right.column(k).to_numpy() for k in ("c", "code", "leaf"))
         base, inside = np.log10((count + 1) / (total + distinct + 1)), np.zeros(len(local), bool)
         inside[local] = right.column("inside").to_numpy(zero_copy_only=False)
         rows = []
-        for doc, (name, train, raw) in enumerate(zip(left.column("doc_id").to_pylist(), left.column("train").to_pylist(), left.column("ids").to_pylist(), strict=True)):
-            ids = np.frombuffer(unpress.decompress(raw), np.uint32)
-            rows.append((key[0].as_py(), doc, name, train, len(ids), int((count[ids] > 0).sum()), float(base[ids].sum()), packed(code[ids]), packed(leaf[ids[inside[ids]]])))
+        for doc, (name, told, train, raw) in enumerate(zip(*(left.column(k).to_pylist() for k in ("doc_id", "hash", "train", "ids")), strict=True)):
+            ids = np.frombuffer(unpress(raw), np.uint32)
+            rows.append((key[0].as_py(), doc, name, told, train, len(ids), int((count[ids] > 0).sum()), float(base[ids].sum()), packed(code[ids]), packed(leaf[ids[inside[ids]]])))
         return pa.Table.from_batches([batch(_CLASSED_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_CLASSED_ARROW.names)})])
 
     named = words.select(F.col("block").alias("of"), "local", "c", "code", "inside", "leaf")
@@ -165,7 +208,7 @@ class Model:
 
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Natural logarithms for classes ``w`` after ``x`` and then ``y``, normalised over all classes."""
-        pairs, place = np.unique(x.astype(np.int64) * len(self.inp) + y, return_inverse=True)
+        place, pairs = pd.factorize(x.astype(np.int64) * len(self.inp) + y)
         first, second = self.inp @ self.a, self.inp @ self.b
         r = first[pairs // len(self.inp)] + second[pairs % len(self.inp)]
         norm = log_norms(r, self.out, self.bias)
@@ -193,13 +236,11 @@ def log_norms(r: np.ndarray, out: np.ndarray, bias: np.ndarray) -> np.ndarray:
 
 
 def _sum_rows(keys: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """The sum of the rows of ``values`` by key."""
+    """The sum of the rows of ``values`` by key; every key from 0 to ``n`` - 1 is there."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    out = np.zeros((n, values.shape[1]), np.float32)
-    out[keys[first]] = np.add.reduceat(values[order], first, axis=0)
-    return out
+    return np.add.reduceat(values[order], first, axis=0)
 
 
 class Trainer:
@@ -217,24 +258,34 @@ class Trainer:
         r = qx @ m.a + qy @ m.b
         drawn = np.minimum(np.searchsorted(self.cumulative, self.rng.random(self.k) * self.cumulative[-1]), len(m.noise) - 1)
         out, noise = m.out[w], m.out[drawn]
-        good = np.einsum("ij,ij->i", r, out) + m.bias[w] - self.log_noise[w]
-        bad = r @ noise.T + (m.bias[drawn] - self.log_noise[drawn])
-        eg = (1 / (1 + np.exp(-np.clip(good, -20, 20))) - 1)[:, None] / n
-        eb = 1 / (1 + np.exp(-np.clip(bad, -20, 20))) / n
+        eg = (sigmoid(np.einsum("ij,ij->i", r, out) + m.bias[w] - self.log_noise[w]) - 1)[:, None]
+        eb = r @ noise.T
+        eb += m.bias[drawn] - self.log_noise[drawn]
+        eb = sigmoid(eb)
         dr = eg * out + eb @ noise
-        grads = {"a": qx.T @ dr, "b": qy.T @ dr, "out": _sum_rows(w, eg * r, len(m.out)), "bias": np.bincount(w, eg[:, 0], len(m.bias)).astype(np.float32)}
-        np.add.at(grads["out"], drawn, eb.T @ r)
-        np.add.at(grads["bias"], drawn, eb.sum(0))
+        one = np.float32(1 / 64)  # as steep as in batches of 64
+        grads = {"a": qx.T @ dr * one, "b": qy.T @ dr * one}
+        used, place = np.unique(np.concatenate((w, drawn)), return_inverse=True)
+        grads["out"] = used, _sum_rows(place, np.concatenate((eg * r, eb.T @ r)), len(used)) * one
+        grads["bias"] = used, np.bincount(place, np.concatenate((eg[:, 0], eb.sum(0))), len(used)).astype(np.float32) * one
         used, place = np.unique(np.concatenate((x, y)), return_inverse=True)
-        grads["inp"] = _sum_rows(place, np.concatenate((dr @ m.a.T, dr @ m.b.T)), len(used))
+        grads["inp"] = used, _sum_rows(place, np.concatenate((dr @ m.a.T, dr @ m.b.T)), len(used)) * one
         for k, g in grads.items():
-            g *= n / 64  # as steep as in batches of 64
-            at = used if k == "inp" else slice(None)
+            at, g = g if isinstance(g, tuple) else (slice(None), g)
             own = self.sums[k][at] + g * g
             self.sums[k][at] = own
             getattr(m, k)[at] -= self.rate * g / np.sqrt(own)
 
 
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    """In the array's own memory."""
+    np.clip(z, -20, 20, out=z)
+    np.negative(z, out=z)
+    np.exp(z, out=z)
+    z += 1
+    return np.reciprocal(z, out=z)
+
+
 def contexts(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The two classes before each token, the start mark before the first, and the tokens' classes."""
     w = np.concatenate(texts)
@@ -246,34 +297,35 @@ def contexts(texts: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarra
     return x, y, w
 
 
-def trained(texts: DataFrame, model: Model, rate: float = 0.08) -> None:
-    """One round: each task trains a copy on its texts, and the copies are averaged by tokens seen."""
+def trained(texts: DataFrame, model: Model, shards: int, of: int = 1, rate: float = 0.08) -> None:
+    """One round over the shards whose number is a multiple of ``of``: each trains a copy of the model, and the copies are averaged by tokens seen.
+
+    A shard's texts are told by a hash of what they are, and what a copy is trained on is ordered by its content, so the
+    result does not depend on how the rows were dealt or ordered.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("part", pa.int64()), ("n", pa.int64()), ("flat", pa.binary())])
+    schema = pa.schema([("shard", pa.int64()), ("n", pa.int64()), ("flat", pa.binary())])
 
-    def local(batches):
-        own, seen = Model(shared.value.noise, shared.value.inp.shape[1], parts=shared.value.parts), 0
+    def local(key, table: pa.Table) -> pa.Table:
+        own = Model(shared.value.noise, shared.value.inp.shape[1], parts=shared.value.parts)
         own.load(shared.value.flat())
-        trainer, held, size = Trainer(own, rate=rate), [], 0
-        for b in batches:
-            for raw in b.column(0).to_pylist():
-                held.append(unpacked(raw))
-                size += len(held[-1])
-                if size >= 256 * MINI_BATCH:
-                    seen += _epoch(trainer, held)
-                    held, size = [], 0
-        if held:
-            seen += _epoch(trainer, held)
-        if seen:
-            yield batch(schema, part=[TaskContext.get().partitionId()], n=[seen], flat=[(own.flat() * np.float32(seen)).tobytes()])
+        seen = _epoch(Trainer(own, rate=rate), [unpacked(v.as_py()) for v in table.column("codes")])
+        return pa.table({"shard": [key[0].as_py()], "n": [seen], "flat": pa.array([(own.flat() * np.float32(seen)).tobytes()], pa.binary())}, schema=schema)
 
     def added(key, table: pa.Table) -> pa.Table:
-        return pa.table({"part": [key[0].as_py()], "n": [sum(table.column("n").to_pylist())], "flat": pa.array([_sum_of(table.column("flat")).tobytes()], pa.binary())})
+        rows = sorted(table.to_pylist(), key=lambda r: r["shard"])
+        return pa.table({"shard": [key[0].as_py()], "n": [sum(r["n"] for r in rows)], "flat": pa.array([_sum_of(r["flat"] for r in rows).tobytes()], pa.binary())}, schema=schema)
 
-    parts = settled(texts.where("train").select("codes").mapInArrow(local, "part long, n long, flat binary"), "parameters")
+    wanted = F.col("train") & (F.col("shard") % of == 0)
+    dealt = texts.withColumn("shard", F.pmod("hash", F.lit(shards))).where(wanted).select("shard", "codes")
+    parts = settled(dealt.groupBy("shard").applyInArrow(lambda key, table: local(key, table), "shard long, n long, flat binary"), "parameters")
     while parts.count() > 16:  # sums of 16 at a time, so that the driver gets 16 rows at most
-        parts = settled(parts.withColumn("part", F.floor(F.col("part") / 16)).groupBy("part").applyInArrow(lambda key, table: added(key, table), "part long, n long, flat binary"), "parameters")
+        # A batch of copies is as much as a task of sums holds.
+        sums = parts.withColumn("shard", F.floor(F.col("shard") / (16 * of))).groupBy("shard").applyInArrow(lambda key, table: added(key, table), "shard long, n long, flat binary")
+        before, parts, of = parts, settled(sums, "parameters"), 1
+        forget(before)
     rows = sorted(tuple(r) for r in parts.collect())
+    forget(parts)
     if rows:
         model.load((_sum_of(r[2] for r in rows).astype(np.float64) / sum(r[1] for r in rows)).astype(np.float32))
 
@@ -288,17 +340,26 @@ def _sum_of(flats) -> np.ndarray:
 
 def _epoch(trainer: Trainer, texts: list[np.ndarray]) -> int:
     x, y, w = contexts(texts, len(trainer.m.of))
-    w = trainer.m.of[w]
-    order = trainer.rng.permutation(len(w))
+    texts.clear()
+    w = trainer.m.of.astype(np.uint32)[w]
+    order = shuffled(trainer.rng, x, y, w)
     for at in range(0, len(w), MINI_BATCH):
         own = order[at : at + MINI_BATCH]
         trainer.step(x[own], y[own], w[own])
     return len(w)
 
 
+def shuffled(rng: np.random.Generator, *columns: np.ndarray) -> np.ndarray:
+    """A random order of the rows that is the same whatever order they come in: they are sorted by content, where equal rows are alike, before they are shuffled."""
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        key = mix64(key * np.uint64(0xD1342543DE82EF95) + c.astype(np.uint64))
+    return np.argsort(key)[rng.permutation(len(key))]
+
+
 _SCORED_ARROW = pa.schema([("block", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 _SCORED = "block long, doc int, doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
-_PLACES_ARROW = pa.schema([("part", pa.int32()), ("block", pa.int64()), *((k, pa.binary()) for k in ("x", "y", "slot", "leaf", "doc"))])
+_PLACES_ARROW = pa.schema([("part", pa.int32()), ("replica", pa.int32()), ("block", pa.int64()), *((k, pa.binary()) for k in ("x", "y", "slot", "leaf", "doc"))])
 _SUMS_ARROW = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("sums", pa.binary())])
 
 
@@ -332,37 +393,40 @@ def scores(texts: DataFrame, model: Model) -> DataFrame:
     return texts.select(*_SCORED_ARROW.names[:-1], "codes").mapInArrow(scored, _SCORED)
 
 
-def places(texts: DataFrame, top: int, parts: int) -> DataFrame:
-    """Where tokens in slots stand: their contexts, slots, leaves and texts (twice the number, and 1 in training texts), by class and block."""
+def places(texts: DataFrame, top: int, parts: int, replicas: int) -> DataFrame:
+    """Where tokens in slots stand: their contexts, slots, leaves and texts (twice the number, and 1 in training texts), by class, replica and block."""
 
     def found(batches):
-        def closed(block, held, leaves, docs):
+        def closed(block, held, leaves, docs, hashes):
             x, y, w = contexts(held, top + parts * parts)
-            doc = np.repeat(np.array(docs, np.uint32), [len(t) for t in held])
+            long = [len(t) for t in held]
+            doc, copy = np.repeat(np.array(docs, np.uint32), long), np.repeat(np.array(hashes, np.int64) // 64 % replicas, long)
             inside = w >= top
             slot, leaf = w[inside] - np.uint32(top), np.concatenate(leaves)
-            order = np.argsort(slot // parts, kind="stable")
+            own = (slot // parts).astype(np.int64) * replicas + copy[inside]
+            order = np.argsort(own, kind="stable")
             columns = [c[order] for c in (x[inside], y[inside], slot % parts, leaf, doc[inside])]
-            part = (slot // parts)[order]
-            starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else []
-            rows = [[packed(c[a:z]) for c in columns] for a, z in zip(starts, [*starts[1:], len(part)], strict=True)] if len(part) else []
-            return batch(_PLACES_ARROW, part=[int(part[a]) for a in starts], block=[block] * len(rows), **{k: [r[j] for r in rows] for j, k in enumerate(_PLACES_ARROW.names[2:])})
+            own = own[order]
+            starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
+            rows = [[packed(c[a:z]) for c in columns] for a, z in zip(starts, [*starts, len(own)][1:], strict=True)]
+            return batch(_PLACES_ARROW, part=own[starts] // replicas, replica=own[starts] % replicas, block=[block] * len(rows), **{k: [r[j] for r in rows] for j, k in enumerate(_PLACES_ARROW.names[3:])})
 
-        at, held, leaves, docs, size = None, [], [], [], 0
+        at, held, leaves, docs, hashes, size = None, [], [], [], [], 0
         for b in pieces(batches):
-            for block, doc, train, codes, leaf in zip(*[b.column(k).to_pylist() for k in ("block", "doc", "train", "codes", "leaves")], strict=True):
-                if held and (block != at or size >= BLOCK_TOKENS):
-                    yield closed(at, held, leaves, docs)
-                    held, leaves, docs, size = [], [], [], 0
+            for block, doc, told, train, codes, leaf in zip(*[b.column(k).to_pylist() for k in ("block", "doc", "hash", "train", "codes", "leaves")], strict=True):
+                if held and (block != at or size >= PLACES_TOKENS):
+                    yield closed(at, held, leaves, docs, hashes)
+                    held, leaves, docs, hashes, size = [], [], [], [], 0
                 at = block
                 held.append(unpacked(codes))
                 leaves.append(unpacked(leaf))
                 docs.append(2 * doc + train)
+                hashes.append(told)
                 size += len(held[-1])
         if held:
-            yield closed(at, held, leaves, docs)
+            yield closed(at, held, leaves, docs, hashes)
 
-    return texts.select("block", "doc", "train", "codes", "leaves").mapInArrow(found, "part int, block long, x binary, y binary, slot binary, leaf binary, doc binary")
+    return texts.select("block", "doc", "hash", "train", "codes", "leaves").mapInArrow(found, "part int, replica int, block long, x binary, y binary, slot binary, leaf binary, doc binary")
 
 
 class Level:
@@ -373,19 +437,18 @@ class Level:
         self.out, self.bias = np.zeros((len(counts), width), np.float32), np.log(self.shares).astype(np.float32)
 
     def train(self, r, w: np.ndarray, rng, noise: int, size: int, rate: float = 0.08) -> None:
-        """One pass of noise-contrastive estimation; ``r`` gives the contexts at some places."""
+        """One pass of noise-contrastive estimation over the places in their order; ``r`` gives the contexts at some of them."""
         if len(self.bias) < 2:
             return
         sums, bias_sums = np.full_like(self.out, 0.1), np.full_like(self.bias, 0.1)
         cumulative, log_noise = np.cumsum(self.shares), np.log(noise * self.shares).astype(np.float32)
-        order = rng.permutation(len(w))
         for at in range(0, len(w), size):
-            own = order[at : at + size]
-            q, t = r(own), w[own]
+            q, t = r(slice(at, at + size)), w[at : at + size]
             drawn = np.minimum(np.searchsorted(cumulative, rng.random(noise) * cumulative[-1]), len(cumulative) - 1)
-            good = np.einsum("ij,ij->i", q, self.out[t]) + self.bias[t] - log_noise[t]
-            bad = q @ self.out[drawn].T + (self.bias[drawn] - log_noise[drawn])
-            eg, eb = 1 / (1 + np.exp(-np.clip(good, -20, 20))) - 1, 1 / (1 + np.exp(-np.clip(bad, -20, 20)))
+            eg = sigmoid(np.einsum("ij,ij->i", q, self.out[t]) + self.bias[t] - log_noise[t]) - 1
+            eb = q @ self.out[drawn].T
+            eb += self.bias[drawn] - log_noise[drawn]
+            eb = sigmoid(eb)
             used, place = np.unique(np.concatenate((t, drawn)), return_inverse=True)
             g = _sum_rows(place, np.concatenate((eg[:, None] * q, eb.T @ q)), len(used)) / 64
             gb = np.bincount(place, np.concatenate((eg, eb.sum(0))), len(used)).astype(np.float32) / 64
@@ -406,12 +469,14 @@ def within(first: np.ndarray, second: np.ndarray, x, y, slot, leaf, train, membe
     ``members``: slot, leaf and count of the class's tokens.
     """
     rng, width = np.random.default_rng(seed), first.shape[1]
-    order = np.argsort(slot, kind="stable")
+    order = shuffled(rng, x, y, slot, leaf, train)
+    order = order[np.argsort(slot[order], kind="stable")]  # by slot, and within one the same however the places came
     x, y, slot, leaf, train = x[order], y[order], slot[order], leaf[order], train[order]
     of, number, count = members
     whole = Level(np.bincount(of, count, parts) + 1.0, width)
-    taught = np.flatnonzero(train)
-    whole.train(lambda i: first[x[taught[i]]] + second[y[taught[i]]], slot[taught], rng, NOISE, MINI_BATCH)
+    taught = rng.permutation(np.flatnonzero(train))
+    tx, ty = x[taught], y[taught]
+    whole.train(lambda some: first[tx[some]] + second[ty[some]], slot[taught], rng, NOISE, MINI_BATCH)
     p = np.empty(len(slot))
     for at in range(0, len(slot), 1 << 16):
         some = slice(at, at + (1 << 16))
@@ -424,8 +489,9 @@ def within(first: np.ndarray, second: np.ndarray, x, y, slot, leaf, train, membe
         counts = np.ones(own.stop - own.start + 1)  # leaf 0: tokens that no training text holds
         counts[number[own]] += count[own]
         tokens_of, r, w = Level(counts, width), first[x[some]] + second[y[some]], leaf[some]
-        here = np.flatnonzero(train[some])
-        tokens_of.train(lambda i, r=r, here=here: r[here[i]], w[here], rng, 32, 1024)
+        here = train[some]
+        taught_r = r[here]
+        tokens_of.train(lambda i, taught_r=taught_r: taught_r[i], w[here], rng, 32, 1024)
         for at in range(0, len(w), 1 << 16):
             p[edge[j] + at : edge[j] + at + len(w[at : at + (1 << 16)])] += tokens_of.log_probabilities(r[at : at + (1 << 16)], w[at : at + (1 << 16)])
     out = np.empty(len(p))
@@ -433,19 +499,20 @@ def within(first: np.ndarray, second: np.ndarray, x, y, slot, leaf, train, membe
     return out
 
 
-def slot_scores(found: DataFrame, members: DataFrame, model: Model) -> DataFrame:
-    """For each block the sums over its texts of the log10 probabilities of slots and leaves; a class in one task."""
+def slot_scores(found: DataFrame, members: DataFrame, model: Model, replicas: int) -> DataFrame:
+    """For each block the sums over its texts of the log10 probabilities of slots and leaves; a replica of a class in one task."""
     shared = found.sparkSession.sparkContext.broadcast((model.inp @ model.a, model.inp @ model.b))
     parts = model.parts
 
     def fit(key, left: pa.Table, right: pa.Table) -> pa.Table:
         first, second = shared.value
-        left = left.sort_by([("block", "ascending")])
         blocks = left.column("block").to_pylist()
-        x, y, slot, leaf, doc = (np.concatenate([unpacked(v.as_py()) for v in left.column(k)] or [np.zeros(0, np.uint32)]) for k in _PLACES_ARROW.names[2:])
+        x, y, slot, leaf, doc = (np.concatenate([unpacked(v.as_py()) for v in left.column(k)] or [np.zeros(0, np.uint32)]) for k in _PLACES_ARROW.names[3:])
         sizes = [len(unpacked(v.as_py())) for v in left.column("doc")]
+        right = right.sort_by([("slot", "ascending"), ("leaf", "ascending")])
         known = tuple(right.column(k).to_numpy().astype(np.int64) for k in ("slot", "leaf", "c"))
-        p = within(first, second, x, y, slot, leaf, doc % 2 == 1, known, parts, 1 if key[0].as_py() is None else key[0].as_py() + 1) / np.log(10)
+        seed = 0 if key[0].as_py() is None else (key[0].as_py() + 1) * replicas + key[1].as_py()
+        p = within(first, second, x, y, slot, leaf, doc % 2 == 1, known, parts, seed) / np.log(10)
         rows, at = [], 0
         for block, n in zip(blocks, sizes, strict=True):
             docs, place = np.unique(doc[at : at + n] // 2, return_inverse=True)
@@ -453,7 +520,8 @@ def slot_scores(found: DataFrame, members: DataFrame, model: Model) -> DataFrame
             at += n
         return pa.Table.from_batches([batch(_SUMS_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_SUMS_ARROW.names)})])
 
-    return found.groupBy("part").cogroup(members.groupBy("part")).applyInArrow(lambda key, left, right: fit(key, left, right), "block long, docs binary, sums binary")
+    each = members.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))))
+    return found.groupBy("part", "replica").cogroup(each.groupBy("part", "replica")).applyInArrow(lambda key, left, right: fit(key, left, right), "block long, docs binary, sums binary")
 
 
 def together(scored: DataFrame, sums: DataFrame) -> DataFrame:
@@ -475,7 +543,7 @@ def parts_for(types: int) -> int:
     return n if n**3 >= types else n + 1
 
 
-def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS, classes: int = CLASSES, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
+def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS, classes: int = CLASSES, width: int = WIDTH, rounds: int = ROUNDS, shard_tokens: int = SHARD_TOKENS, class_places: int = CLASS_PLACES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities) of every row; ``train`` says which rows teach."""
     if classes < 1:
         raise ValueError("there must be classes")
@@ -484,23 +552,32 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
     counts = settled(words.groupBy("token").agg(F.sum("n").alias("c")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     top = counts.where("c > 0").orderBy(F.desc("c"), "token").limit(classes).collect()
-    numbers = docs.sparkSession.createDataFrame([(bytes(r.token), i) for i, r in enumerate(top)], "token binary, cls int")
+    numbers = docs.sparkSession.createDataFrame(pa.table({"token": pa.array([bytes(r.token) for r in top], pa.binary()), "cls": pa.array(range(len(top)), pa.int32())}))
     parts = parts_for(distinct - len(top))
     slotted = counts.join(F.broadcast(numbers), "token", "left").withColumn("slot", F.pmod(F.xxhash64("token"), F.lit(parts * parts)).cast("int"))
     known = F.col("cls").isNull() & (F.col("c") > 0)
     leaf = F.when(known, F.row_number().over(Window.partitionBy("slot", known).orderBy("token"))).otherwise(0)
     own = settled(slotted.select("token", "c", F.coalesce("cls", F.col("slot") + len(top)).alias("code"), F.col("cls").isNull().alias("inside"), "slot", leaf.alias("leaf")), "types")
+    forget(counts)
     found = words.join(own, "token").select("block", "local", "c", "code", "inside", "leaf")
     members = own.where("leaf > 0").select(F.floor(F.col("slot") / parts).cast("int").alias("part"), (F.col("slot") % parts).alias("slot"), "leaf", "c")
-    texts = settled(classed(blocks.where("token is null").select("block", "doc_id", "train", "ids"), found, total, distinct), "classes")
+    texts = settled(classed(blocks.where("token is null").select("block", "doc_id", "hash", "train", "ids"), found, total, distinct), "classes")
+    forget(blocks)
     shares = np.ones(len(top) + parts)
     shares[: len(top)] = [r.c for r in top]
     for r in members.groupBy("part").agg(F.sum("c").alias("c")).collect():  # fewer than the cube root of the tokens
         shares[len(top) + r.part] += r.c
+    # A class stands in so many replicas that one task's places are bounded, its own and those of texts that do not teach.
+    stand = texts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0] - sum(r.c for r in top)
+    replicas = max(1, -(-stand // (parts * class_places)))
     model = Model(shares / shares.sum(), width, parts=parts)
+    shards = max(1, -(-total // shard_tokens))
+    if shards >= 2 * WARM:  # copies that start alike can be averaged
+        trained(texts, model, shards, WARM)
     for i in range(rounds):
-        trained(texts, model, 0.08 / (1 + i))
-    result = settled(together(scores(texts, model), slot_scores(places(texts, len(top), parts), members, model)), "scores")
+        trained(texts, model, shards, rate=0.08 / (1 + i))
+    result = settled(together(scores(texts, model), slot_scores(places(texts, len(top), parts, replicas), members, model, replicas)), "scores")
+    forget(texts, own)
     return result.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -102,8 +102,8 @@ def test_similar_counts_exactly():
 
 
 def test_forest_prefix_reaches_its_recall():
-    k = jj.prefix_length(0.8, 32, 12, 0.999)
-    assert 1 - (1 - 0.8**k) ** 32 >= 0.999 > 1 - (1 - 0.8 ** (k + 1)) ** 32
+    k = jj.prefix_length(0.8, jj.TREES, jj.DEPTH, jj.RECALL)
+    assert jj.SHORTEST < k < jj.DEPTH and 1 - (1 - 0.8**k) ** jj.TREES >= jj.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** jj.TREES
     assert jj.prefix_length(0.8, 1, 12, 0.999) == 1
 
 

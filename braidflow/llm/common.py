@@ -127,3 +127,45 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
         total += mix64(words[j : n - size + 1 + j] * _PLACE[j])
     return mix64(total)
 
+
+def text_slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The UTF-8 bytes of stretches of texts, about ``most`` bytes each, and where each text begins in them (one more at the end).
+
+    Null is the empty text; a longer text is a stretch of its own.
+    """
+    column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
+    column = column.fill_null(b"") if column.null_count else column
+    if not len(column):
+        return
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data, at = np.frombuffer(column.buffers()[2] or b"", np.uint8), 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
+        at = end
+
+
+def words_of_texts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of ``word_hashes`` for all words of several texts, and where each text's begin (one more at the end)."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    raw = _LOWER[data]
+    inside = np.zeros(len(raw) + 2, bool)
+    inside[1:-1] = _IS_WORD[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True  # words end with their text
+    edge |= inside[1:] != inside[:-1]
+    starts, ends = np.flatnonzero(edge & inside[1:]), np.flatnonzero(edge & inside[:-1])
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE_CODE[raw] * _powers(_BASE, len(raw))[: len(raw)], out=total[1:])
+    hashes = mix64((total[ends] - total[starts]) * _powers(_INVERSE, len(raw))[starts] + (ends - starts).astype(np.uint64))
+    return hashes, np.searchsorted(starts, offsets)
+
+
+def shingles_of_texts(column: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The hashes of ``shingle_hashes`` for each text, in order."""
+    for data, offsets in text_slices(column):
+        words, at = words_of_texts(data, offsets)
+        every = shingle_hashes(words, size) if len(words) >= size else np.zeros(0, np.uint64)
+        for a, z in zip(at.tolist(), at[1:].tolist(), strict=False):
+            yield every[a : z - size + 1] if z - a >= size else shingle_hashes(words[a:z], size)

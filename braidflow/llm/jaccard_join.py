@@ -45,7 +45,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from braidflow.fields import fresh as fresh_name
 from braidflow.fields import quoted
-from braidflow.llm.common import batch, forget, mix64, pieces, settled, shingle_hashes, text_bytes, word_hashes
+from braidflow.llm.common import batch, forget, mix64, pieces, settled, shingle_hashes, shingles_of_texts, text_bytes, word_hashes
 from braidflow.llm.components import components
 
 SHINGLE = 5
@@ -108,8 +108,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int, signer: Sig
     def sketch(batches):
         for b in pieces(batches):
             rows = []
-            for name, text in zip(b.column(0).to_pylist(), text_bytes(b.column(1)), strict=True):
-                own = shingle_set(text, size)
+            for name, every in zip(b.column(0).to_pylist(), shingles_of_texts(b.column(1), size), strict=True):
+                own = np.unique(every)
                 rows.append((name, 0, 0, 0, None) if not len(own) or name is None else (name, *fingerprint(own), len(own), signer.sign(own)))
             yield batch(_SKETCH_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_SKETCH_ARROW.names)})
 
@@ -211,7 +211,7 @@ def links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", si
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: float, trees: int, depth: int, recall: float, shortest: int, sparse: int, block: int) -> DataFrame:
-    """The join's rows with the fingerprints of their texts."""
+    """The join's rows with the fingerprints of their texts and a number of their classes."""
     longest = prefix_length(threshold, trees, depth, recall)
     shortest = min(shortest, longest)
     base = settled(sketches(docs, id_col, text_col, size, Signer(trees, depth)), "sketches")
@@ -276,10 +276,10 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: f
     classes = components(verified.where("other is not null").select("node", "other"), "node", "other")
     firsts = classes.join(heads.select(F.col("f1").alias("node"), "first"), "node")
     least = firsts.groupBy("component").agg(F.min("first").alias("class_id"))
-    linked = classes.join(least, "component").select(F.col("node").alias("f1"), "class_id").join(counts.withColumnRenamed("node", "f1"), "f1")
-    known = heads.join(linked, "f1", "left").select("f1", "f2", F.col("first").alias("copy_of"), F.coalesce("class_id", "first").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    with_words = usable.select("doc_id", "f1", "f2").join(known, ["f1", "f2"]).select("doc_id", "class_id", "copy_of", "n_links", "f1", "f2")
-    return with_words.unionAll(base.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("f1"), F.lit(None).cast("long").alias("f2")))
+    linked = classes.join(least, "component").select(F.col("node").alias("f1"), "class_id", "component").join(counts.withColumnRenamed("node", "f1"), "f1")
+    known = heads.join(linked, "f1", "left").select("f1", "f2", F.col("first").alias("copy_of"), F.coalesce("class_id", "first").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component", "f1").alias("component"))
+    with_words = usable.select("doc_id", "f1", "f2").join(known, ["f1", "f2"]).select("doc_id", "class_id", "copy_of", "n_links", "f1", "f2", "component")
+    return with_words.unionAll(base.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"), *[F.lit(None).cast("long").alias(c) for c in ("f1", "f2", "component")]))
 
 
 def drop_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -303,7 +303,7 @@ def drop_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
             yield b.append_column(f1, pa.array([x for x, _ in prints], pa.int64())).append_column(f2, pa.array([x for _, x in prints], pa.int64()))
 
     rows = again.mapInArrow(told, StructType([*schema.fields, StructField(f1, LongType()), StructField(f2, LongType())]))
-    least = found.where("doc_id = class_id").groupBy("class_id").agg(F.min(F.struct("f1", "f2")).alias("one")).select(F.col("one.f1").alias(f1), F.col("one.f2").alias(f2), F.col("class_id").alias(name))
+    least = found.where("doc_id = class_id").groupBy("component").agg(F.min(F.struct("f1", "f2", "class_id")).alias("one")).select(F.col("one.f1").alias(f1), F.col("one.f2").alias(f2), F.col("one.class_id").alias(name))
     stay = rows.join(least, [f1, f2]).where(F.expr(f"cast(doc_id as long) = {name}")).dropDuplicates([f1, f2])
     return alone.unionAll(stay.select(*[F.col(quoted(c)) for c in docs.columns])).unionAll(rows.where(F.col(f1).isNull()).select(*[F.col(quoted(c)) for c in docs.columns]))
 

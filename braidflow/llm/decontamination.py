@@ -14,8 +14,8 @@ any shingle of any item has no minimum in common with one and is left out before
 hashing. Candidates are then verified by exact containment of the item's
 shingles in the whole text.
 
-Items travel to the executors in blocks of a bounded size, one pass over the
-documents for each block, so a benchmark of any size is searched whole. Items of
+Items travel to the executors in blocks of a bounded number of items and characters,
+one pass over the documents for each block, so a benchmark of any size is searched whole. Items of
 fewer than five words are one shingle of all their words, looked for as a run of
 that many words. Items without a word match nothing. Null texts are empty.
 Repeated ids: every row is searched, results are distinct. Empty tables give no
@@ -31,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from braidflow.llm.common import batch, mix64, pieces, shingle_hashes, text_bytes, word_hashes
+from braidflow.llm.common import batch, mix64, pieces, shingle_hashes, text_slices, word_hashes, words_of_texts
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
-#: Items sent to the executors at a time.
+#: Items sent to the executors at a time, and the characters of their texts.
 BLOCK_ITEMS = 20_000
+BLOCK_CHARS = 8_000_000
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("shared", pa.int64()), ("item_shingles", pa.int64())])
 
@@ -75,10 +76,35 @@ class Items:
             filter_bits = np.zeros(1 << 20, bool)
             filter_bits[(every >> np.uint64(44)).astype(np.int64)] = True
             self.classes.append((words, 1 << c, seeds, every, filter_bits, minima))
+        self.all: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of all classes with shingles of so many words
+        for words, _, _, every, filter_bits, _ in self.classes:
+            old, bits = self.all.get(words, (np.zeros(0, np.uint64), np.zeros_like(filter_bits)))
+            self.all[words] = np.union1d(old, every), bits | filter_bits
+
+    def column(self, texts: pa.Array) -> list[tuple[int, int, int, int]]:
+        """(row, item index, its shingles in the text, its shingles) of the items that the texts contain.
+
+        The shingles of many texts are held against the filter at once; only texts with a shingle of an item are searched.
+        """
+        out, row = [], 0
+        for data, offsets in text_slices(texts):
+            words, at = words_of_texts(data, offsets)
+            near = np.zeros(len(offsets) - 1, bool)
+            for size, (every, bits) in self.all.items():
+                if len(words) < size:
+                    continue
+                own = shingle_hashes(words, size)
+                maybe = np.flatnonzero(bits[(own >> np.uint64(44)).astype(np.int64)])
+                maybe = maybe[np.isin(own[maybe], every)]
+                near[np.searchsorted(at, maybe, "right") - 1] = True
+            for i in np.flatnonzero(near).tolist():
+                out += [(row + i, *x) for x in self.search(words[at[i] : at[i + 1]])]
+            row += len(near)
+        return out
 
-    def search(self, text: bytes) -> list[tuple[int, int, int]]:
-        """(item index, its shingles in the text, its shingles) of the items that the text contains."""
-        words, found, sets = word_hashes(text), set(), {}
+    def search(self, words: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item index, its shingles in the text, its shingles) of the items that a text of these words contains."""
+        found, sets = set(), {}
         shingles: dict[int, np.ndarray] = {}
         for size, step, seeds, every, bits, minima in self.classes:
             if len(words) < size:
@@ -106,11 +132,11 @@ class Items:
         return out
 
 
-def blocks(spark, benchmark: DataFrame, id_col: str, text_col: str, block_items: int):
-    """The distinct items in lists of at most ``block_items``, one list on the driver at a time."""
+def blocks(spark, benchmark: DataFrame, id_col: str, text_col: str, block_items: int, block_chars: int = BLOCK_CHARS):
+    """The distinct items in lists of about ``block_items`` and ``block_chars`` at most, one list on the driver at a time."""
     chosen = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).distinct()
-    n = chosen.count()
-    parts = -(-n // block_items)
+    n, chars = chosen.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    parts = max(-(-n // block_items), -(-chars // block_chars))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(parts, 1)))
     for p in range(parts):
         yield [tuple(r) for r in chosen.where(part == p).collect()]
@@ -127,7 +153,8 @@ def contained(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
         def search(batches, shared=shared):
             items = shared.value
             for b in pieces(batches, 2048):
-                rows = [(d, items.items[i][0], n, m) for d, t in zip(b.column(0).to_pylist(), text_bytes(b.column(1)), strict=True) for i, n, m in items.search(t)]
+                names = b.column(0).to_pylist()
+                rows = [(names[d], items.items[i][0], n, m) for d, i, n, m in items.column(b.column(1))]
                 if rows:
                     yield batch(_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_ARROW.names)})
 
@@ -147,7 +174,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item
         def kept(batches, shared=shared):
             items = shared.value
             for b in pieces(batches, 2048):
-                yield b.filter(pa.array([not items.search(t) for t in text_bytes(b.column(text_col))], pa.bool_()))
+                clean = np.ones(b.num_rows, bool)
+                clean[[r[0] for r in items.column(b.column(b.schema.get_field_index(text_col)))]] = False
+                yield b.filter(pa.array(clean))
 
         docs = docs.mapInArrow(kept, docs.schema)
     return docs
@@ -169,13 +198,19 @@ with words as (
   select 'd' as kind, doc_id as id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
   union all
   select 'i', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark),
+-- Items of fewer than five words are one run of all their words, looked for among a text's runs of as many.
+runs as (
+  select id, len(w) as k, w from words where kind = 'i' and len(w) between 1 and 4
+  union all select id, 5, w from words where kind = 'i' and len(w) >= 5),
 shingles as (
-  select distinct kind, id, array_to_string(w[i:i + 4], ' ') as s
-  from (select kind, id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from words where len(w) >= 5)),
+  select distinct 'i' as kind, id, k, array_to_string(w[i:i + k - 1], ' ') as s from (select id, k, w, unnest(range(1, len(w) - k + 2)) as i from runs)
+  union all
+  select distinct 'd', id, k, array_to_string(w[i:i + k - 1], ' ') from (
+    select id, k, w, unnest(range(1, len(w) - k + 2)) as i from words, (select distinct k from runs) where kind = 'd' and len(w) >= k)),
 sizes as (select id, count(*) as n from shingles where kind = 'i' group by id)
 select d.id as doc_id, i.id as item_id, count(*) as shared, any_value(z.n) as item_shingles,
        count(*)::double / any_value(z.n)::double as containment
-from shingles i join shingles d on d.s = i.s and d.kind = 'd' join sizes z on z.id = i.id
+from shingles i join shingles d on d.s = i.s and d.k = i.k and d.kind = 'd' join sizes z on z.id = i.id
 where i.kind = 'i'
 group by d.id, i.id
 having count(*) >= 0.8 * any_value(z.n) - 1e-9

@@ -5,11 +5,17 @@ stay; looser patterns give further candidates, among them what the strict
 patterns found and dropped. Five labelers vote on each candidate (personal, not,
 or no vote): the strict pattern, check digits, gazetteers, the words before the
 span, and its shape. Votes and a few span features form a small code; counts of
-the codes over all candidates are all that EM and the classifier need, so they
-are summed on the executors and only the distinct codes, fewer than ``MAX_CODES``
-by construction, reach the driver. EM (Dawid and Skene, two classes, a share for
-each kind) estimates the labelers' reliabilities; a logistic regression on votes
-and features is fitted to its posteriors and decides on the candidates.
+the codes over all candidates are all that EM needs, so they are summed on the
+executors and only the distinct codes, fewer than ``MAX_CODES`` by construction,
+reach the driver. EM estimates how often each labeler's vote is right, at least
+more often than not, and the share of personal spans of each kind.
+
+The span classifier sees what no labeler does: the characters of the span by
+their kinds, the signs around it and the words after it. It is a logistic
+regression on these and the two labelers that test (pattern, check digits), fitted
+to EM's posteriors on at most ``SAMPLE`` different
+candidates, those of the smallest hashes, weighed by how often they occur. It
+decides on all candidates and may overrule the votes; base spans always stay.
 
 Null texts are empty; an empty text has no spans. Repeated ids: a row for each.
 An empty table gives no rows. All patterns run in time linear in the text.
@@ -17,8 +23,12 @@ An empty table gives no rows. All patterns run in time linear in the text.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
+import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +43,10 @@ LABELERS = ("pattern", "checksum", "gazetteer", "context", "shape")
 _FEATURES = (3, 3, 3)  # length, what stands before, what stands after
 MAX_CODES = len(KINDS) * 3 ** len(LABELERS) * 27
 NOT, PERSONAL, NONE = 2, 1, 0
+#: Different candidates that the classifier is fitted on, at most.
+SAMPLE = 20_000
+#: Buckets of the classifier's features of characters and context.
+BUCKETS = 1 << 13
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -164,6 +178,27 @@ def _vote(kind: str, s: str, before: str, after: str, strict: bool | None) -> in
     return code
 
 
+_KINDS_OF = str.maketrans({**{chr(c): "0" for c in range(48, 58)}, **{chr(c): "a" for c in range(97, 123)}, **{chr(c): "A" for c in range(65, 91)}, "\x1f": " "})
+_RUN = re.compile(r"(.)\1{3,}", re.DOTALL)
+_SIDE_WORD = re.compile(r"[A-Za-z]{1,12}")
+
+
+def mark(text: str, a: int, b: int) -> str:
+    """What the classifier sees of a span beside its code: its characters' kinds, longer runs cut to four, the signs around it
+    and the words after it (those before it are a labeler's evidence)."""
+    shape = _RUN.sub(r"\1\1\1\1", text[a : min(b, a + 200)].translate(_KINDS_OF))[:40]
+    following = [w.lower() for w in _SIDE_WORD.findall(text[b : b + 30])[:2]] + ["", ""]
+    return "\x1f".join((shape, text[max(0, a - 1) : a].translate(_KINDS_OF), text[b : b + 1].translate(_KINDS_OF), *following[:2]))
+
+
+def _features(mark: str) -> list[int]:
+    """The buckets of a mark: runs of one to three of the shape's characters, and each part of what is around it."""
+    shape, *around = mark.split("\x1f")
+    shape = f"<{shape}>"
+    grams = {shape[i : i + n] for n in (1, 2, 3) for i in range(len(shape) - n + 1)}
+    return sorted({zlib.crc32(g.encode()) % BUCKETS for g in grams} | {zlib.crc32(f"{i}={x}".encode()) % BUCKETS for i, x in enumerate(around)})
+
+
 def candidates(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int, int]]]:
     """Base spans, and every candidate with its code (base spans and failed ones among them)."""
     good, failed = base_spans(text)
@@ -200,43 +235,80 @@ def parts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def reliabilities(codes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
-    """EM over the counted codes: each code's probability of being personal, and P(vote | class) by labeler."""
+    """EM over the counted codes: each code's probability of being personal, and how often each labeler's vote is right.
+
+    A labeler that does not vote says nothing. That a vote is right more often than wrong is given, which tells the two
+    classes apart; each kind has its own share of personal spans, which starts even.
+    """
     kind, votes, _ = parts(codes)
-    score = (votes == PERSONAL).sum(1) - (votes == NOT).sum(1)
-    p = 1 / (1 + np.exp(-2.0 * score))
-    table = np.zeros((len(LABELERS), 2, 3))
+    right = np.full(len(LABELERS), 0.8)
+    sign = np.where(votes == PERSONAL, 1.0, np.where(votes == NOT, -1.0, 0.0))
+    share = np.full(len(KINDS), 0.5)
+    p = np.full(len(codes), 0.5)
     for _ in range(rounds):
-        both = np.stack(((1 - p) * counts, p * counts))
-        share = np.array([[both[c][kind == k].sum() + 1 for c in (0, 1)] for k in range(len(KINDS))])
-        share /= share.sum(1, keepdims=True)
-        logit = np.log(share[kind])
+        weight = np.log(right / (1 - right))
+        p = 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share))[kind] + sign @ weight, -50, 50)))
         for j in range(len(LABELERS)):
-            for c in (0, 1):
-                table[j, c] = np.bincount(votes[:, j], both[c], 3) + (1, 0.5 + 1.5 * c, 2 - 1.5 * c)
-                table[j, c] /= table[j, c].sum()
-                logit[:, c] += np.log(table[j, c, votes[:, j]])
-        p = 1 / (1 + np.exp(np.clip(logit[:, 0] - logit[:, 1], -50, 50)))
-    return p, table
-
-
-def train(codes: np.ndarray, counts: np.ndarray, rounds: int = 500) -> np.ndarray:
-    """The span classifier's probability for each code: logistic regression on kind, votes and features, fitted to EM's posteriors."""
-    if not len(codes):
-        return np.zeros(0)
-    target, _ = reliabilities(codes, counts)
-    kind, votes, features = parts(codes)
-    x = np.concatenate([np.eye(len(KINDS))[kind]] + [np.eye(3)[c] for c in np.concatenate((votes, features), 1).T], axis=1)
-    weight = counts / counts.sum()
-    w, m, v = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
-    for step in range(1, rounds + 1):
-        grad = x.T @ (weight * (1 / (1 + np.exp(-x @ w)) - target)) + 1e-4 * w
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-        w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-    return 1 / (1 + np.exp(-x @ w))
+            agree = (counts * np.where(sign[:, j] > 0, p, 1 - p))[sign[:, j] != 0].sum()
+            right[j] = np.clip((agree + 8) / (counts[sign[:, j] != 0].sum() + 10), 0.55, 0.99)
+        share = np.array([((counts * p)[kind == k].sum() + 2) / (counts[kind == k].sum() + 4) for k in range(len(KINDS))])
+    return p, right
+
 
+class Classifier:
+    """The probability that a span is personal, from its code and its mark."""
 
-_FOUND = "doc_id long, base array<string>, kinds array<int>, starts array<long>, ends array<long>, codes array<int>"
-_FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("base", pa.list_(pa.string())), ("kinds", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32()))])
+    def __init__(self, known: np.ndarray, buckets: np.ndarray):
+        self.known, self.buckets = known, buckets  # weights of kinds, votes and code features; weights of the mark's buckets
+        self._seen: dict[tuple[int, str], float] = {}
+
+    def __getstate__(self):
+        return self.known, self.buckets
+
+    def __setstate__(self, state):
+        self.__init__(*state)
+
+    def probability(self, code: int, mark: str) -> float:
+        if (code, mark) not in self._seen:
+            if len(self._seen) > 50_000:
+                self._seen.clear()
+            z = float(_known(np.array([code]))[0] @ self.known) + float(self.buckets[_features(mark)].sum())
+            self._seen[code, mark] = 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
+        return self._seen[code, mark]
+
+    def accepts(self, code: int, mark: str) -> bool:
+        return self.probability(code, mark) >= 0.5
+
+
+def _known(codes: np.ndarray) -> np.ndarray:
+    """Kind, the votes of the two labelers that test (the others' evidence is kept from the classifier, else it would repeat them) and length."""
+    kind, votes, features = parts(codes)
+    return np.concatenate([np.eye(len(KINDS))[kind]] + [np.eye(3)[c] for c in np.concatenate((votes[:, :2], features), 1).T], axis=1)
+
+
+def train(codes: np.ndarray, counts: np.ndarray, sample: list[tuple[int, str, int]], rounds: int = 300) -> Classifier:
+    """The classifier for ``codes`` as often as ``counts`` says over all candidates, fitted on a sample of (code, mark, count)."""
+    width = len(KINDS) + 3 * (2 + len(_FEATURES))
+    w = np.zeros(width + BUCKETS)
+    if len(codes) and sample:
+        posterior, _ = reliabilities(codes, counts)
+        own = np.array([x[0] for x in sample], np.int64)
+        target, weight = posterior[np.searchsorted(codes, own)], np.sqrt(np.array([x[2] for x in sample], float))
+        weight /= weight.sum()
+        known, features = _known(own), [_features(x[1]) for x in sample]
+        row, bucket = np.repeat(np.arange(len(own)), [len(f) for f in features]), np.concatenate(features).astype(np.int64)
+        m, v = np.zeros_like(w), np.zeros_like(w)
+        for step in range(1, rounds + 1):
+            z = known @ w[:width] + np.bincount(row, w[width:][bucket], len(own))
+            wrong = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - target)
+            grad = np.concatenate((known.T @ wrong, np.bincount(bucket, wrong[row], BUCKETS))) + 1e-4 * w
+            m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
+            w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+    return Classifier(w[:width].astype(np.float32), w[width:].astype(np.float32))
+
+
+_FOUND = "doc_id long, base array<string>, kinds array<int>, starts array<long>, ends array<long>, codes array<int>, marks array<string>"
+_FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("base", pa.list_(pa.string())), ("kinds", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32())), ("marks", pa.list_(pa.string()))])
 
 
 def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,28 +319,31 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             rows = []
             for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 good, every = candidates(text or "")
-                rows.append((name, [f"{k}:{a}:{e}" for k, a, e in good], [KINDS.index(x[0]) for x in every], [x[1] for x in every], [x[2] for x in every], [x[3] for x in every]))
+                rows.append((name, [f"{k}:{a}:{e}" for k, a, e in good], [KINDS.index(x[0]) for x in every], [x[1] for x in every], [x[2] for x in every], [x[3] for x in every], [mark(text, x[1], x[2]) for x in every]))
             yield batch(_FOUND_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_FOUND_ARROW.names)})
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(found, _FOUND)
 
 
-def accepted(found: DataFrame) -> frozenset[int]:
-    """The codes that the classifier takes for personal data, learnt from the counts over all rows of ``found``."""
+def learnt(found: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """The classifier learnt from the codes of all rows of ``found`` and a sample of their marks."""
     rows = found.select(F.explode("codes").alias("code")).groupBy("code").count().orderBy("code").collect()  # fewer than MAX_CODES
     codes, counts = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float)
-    return frozenset(codes[train(codes, counts) >= 0.5].tolist())
-
-
-def merged(base: list[str], every: list[tuple[int, int, int, int]], codes: frozenset[int]) -> list[tuple[str, int, int]]:
-    """All spans by kind and start: the base ones, and accepted candidates that overlap no span taken before."""
-    out = [(k, int(a), int(e)) for k, a, e in (x.split(":") for x in base)]
-    have, taken = set(out), sorted((a, e) for _, a, e in out)
-    for kind, a, e, code in sorted(every, key=lambda x: (x[1], -x[2])):
-        span = (KINDS[kind], a, e)
-        if code in codes and span not in have and all(y <= a or e <= x for x, y in taken):
-            out.append(span)
-            taken.append((a, e))
+    each = found.select(F.explode(F.arrays_zip("codes", "marks")).alias("x")).groupBy(F.col("x.codes").alias("code"), F.col("x.marks").alias("mark")).agg(F.count("*").alias("n"))
+    some = each.orderBy(F.xxhash64("code", "mark"), "code", "mark").limit(sample).collect()
+    return train(codes, counts, [tuple(r) for r in some])
+
+
+def merged(base: list[tuple[str, int, int]], every: list[tuple[str, int, int, bool]]) -> list[tuple[str, int, int]]:
+    """All spans by kind and start: the base ones, and accepted candidates that overlap none of them and no candidate taken before."""
+    out, have = list(base), set(base)
+    taken = sorted((a, e) for _, a, e in base)
+    starts, ends = [a for a, _ in taken], list(itertools.accumulate((e for _, e in taken), max))
+    free = 0
+    for kind, a, e, good in sorted(every, key=lambda x: (x[1], -x[2])):
+        if good and a >= free and (kind, a, e) not in have and ((i := bisect.bisect_left(starts, e)) == 0 or ends[i - 1] <= a):
+            out.append((kind, a, e))
+            free = max(free, e)
     return sorted(out, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 
 
@@ -278,20 +353,24 @@ _SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("base", pa.list_(pa.string())
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base and spans (each kind:start:end in code points, end exclusive) of every row."""
     found = settled(extract(docs, id_col, text_col), "candidates")
-    codes = accepted(found)
+    model = learnt(found)
 
     def decide(batches):
         for b in batches:
-            rows = b.to_pylist()
-            yield batch(_SPANS_ARROW, doc_id=b.column("doc_id"), base=b.column("base"), spans=[[f"{k}:{a}:{e}" for k, a, e in merged(r["base"], list(zip(r["kinds"], r["starts"], r["ends"], r["codes"], strict=True)), codes)] for r in rows])
+            spans = []
+            for r in b.to_pylist():
+                base = [(k, int(a), int(e)) for k, a, e in (x.split(":") for x in r["base"])]
+                every = [(KINDS[k], a, e, model.accepts(c, m)) for k, a, e, c, m in zip(r["kinds"], r["starts"], r["ends"], r["codes"], r["marks"], strict=True)]
+                spans.append([f"{k}:{a}:{e}" for k, a, e in merged(base, every)])
+            yield batch(_SPANS_ARROW, doc_id=b.column("doc_id"), base=b.column("base"), spans=spans)
 
     return found.mapInArrow(decide, "doc_id long, base array<string>, spans array<string>")
 
 
-def redact(text: str, codes: frozenset[int]) -> str:
+def redact(text: str, model: Classifier) -> str:
     """The text with each span replaced by its kind in brackets; of overlapping spans the first and longest."""
     good, every = candidates(text)
-    own = merged([f"{k}:{a}:{e}" for k, a, e in good], [(KINDS.index(k), a, e, c) for k, a, e, c in every], codes)
+    own = merged(good, [(k, a, e, model.accepts(c, mark(text, a, e))) for k, a, e, c in every])
     out, at = [], 0
     for kind, a, e in sorted(own, key=lambda x: (x[1], -x[2])):
         if a >= at:
@@ -301,14 +380,17 @@ def redact(text: str, codes: frozenset[int]) -> str:
 
 
 def redact_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's stage: personal data in every text is replaced; n_chars, where there is one, follows the text."""
-    codes = accepted(settled(extract(docs).where(F.size("codes") > 0).select("codes"), "codes"))
+    """The pipeline's stage: personal data in every text is replaced; n_chars, where there is one, follows the text.
+
+    Null texts stay null, empty ones empty; rows that repeat an id are each rewritten; all columns are kept.
+    """
+    model = learnt(settled(extract(docs).where(F.size("codes") > 0).select("codes", "marks"), "candidates"))
     schema = docs.schema
     n_chars = "n_chars" in docs.columns
 
     def rewritten(batches):
         for b in pieces(batches):
-            text = [None if t is None else redact(t, codes) for t in b.column("text").to_pylist()]
+            text = [None if t is None else redact(t, model) for t in b.column("text").to_pylist()]
             b = b.set_column(b.schema.get_field_index("text"), b.schema.field("text"), pa.array(text, b.schema.field("text").type))
             if n_chars:
                 field = b.schema.field("n_chars")

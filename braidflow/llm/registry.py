@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from braidflow.llm import decontamination, jaccard_join, license_scan, lm_scoring, packing, pii, token_output, topk_search, toxicity, warc
 
 _QUERIES = [
@@ -26,8 +25,8 @@ _SQL = {
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in _QUERIES} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return dict(_SQL)

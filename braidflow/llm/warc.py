@@ -9,12 +9,15 @@ hold no payload.
 
 ``write_index`` sorts the captures by reversed-host URL key into compressed
 blocks of ``block_lines`` lines and keeps a sparse directory: a row with the
-first key and the place of each block. ``lookup`` searches the directory for the
-blocks that may hold a URL, reads only their byte ranges, finds the lines in them
-by binary search, and reads only the records' byte ranges. ``read_archives``
-reads every record by its place in the index and checks each payload's digest.
-
-Null html is an empty payload; null URLs are written as empty ones. Rows that
+first and last key and the place of each block. Blocks are in order within a part
+(what one task wrote), and parts among each other. ``Index`` searches for one
+URL, ``lookup_all`` for a table of them: a binary search over the parts' first
+keys, one over the sorted directory of a part, one over the lines of a block that
+was read by its byte range, and then only the records' byte ranges are read. Every
+payload's digest is checked.
+
+Null html is an empty payload; null URLs are written as empty ones. A URL whose
+characters can't stand in a header is kept beside it and read back as it was. Rows that
 repeat a page_id are a record each; all rows with a payload's smallest page_id
 are responses. A null page_id refers to the smallest known one of its payload,
 and is a response where there is none. An empty table gives no files.
@@ -78,16 +81,18 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id, url: str, payload: bytes, digest: str, refers_to=None, revisit: bool = False, date: str = "2024-01-01T00:00:00Z") -> bytes:
-    """One WARC/1.1 record, uncompressed."""
-    url = "".join(c for c in url if c >= " " and c != "\x7f")
+def record(page_id, url: str, payload: bytes, digest: str, refers_to=None, revisit: bool = False, date: str = "2024-01-01T00:00:00Z", place: str = "") -> bytes:
+    """One WARC/1.1 record, uncompressed. Its own id follows from ``place``, where it is written; pages have no time of capture."""
+    shown = "".join(c for c in url if c >= " " and c not in "\x7f\x85\u2028\u2029")
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + f"Content-Length: {len(payload)}\r\n\r\n".encode()
     body = head if revisit else head + payload
-    lines = ["WARC/1.1", f"WARC-Type: {_REVISIT if revisit else _RESPONSE}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(_NAMESPACE, str(page_id))}>", f"WARC-Date: {date}", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}", f"X-Payload-Length: {len(payload)}"]
+    lines = ["WARC/1.1", f"WARC-Type: {_REVISIT if revisit else _RESPONSE}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(_NAMESPACE, place)}>", f"WARC-Date: {date}", f"WARC-Target-URI: {shown}", f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}", f"X-Payload-Length: {len(payload)}"]
     if page_id is not None:
         lines.append(f"X-Page-ID: {page_id}")
+    if shown != url:
+        lines.append(f"X-Target-URI-As-Stored: {json.dumps(url)}")
     if revisit:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(_NAMESPACE, str(refers_to))}>", f"X-Refers-To-Page-ID: {refers_to}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-ID: {refers_to}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
@@ -104,7 +109,7 @@ def parse(raw: bytes) -> dict:
     if payload is not None and (base32_sha1(payload) != digest or len(payload) != int(fields["X-Payload-Length"])):
         raise ValueError(f"damaged record of page {fields.get('X-Page-ID')}")
     number = lambda k: int(fields[k]) if k in fields else None
-    return {"page_id": number("X-Page-ID"), "payload_bytes": int(fields["X-Payload-Length"]), "payload_digest": digest, "record_type": fields["WARC-Type"], "refers_to": number("X-Refers-To-Page-ID"), "url": fields["WARC-Target-URI"], "payload": payload}
+    return {"page_id": number("X-Page-ID"), "payload_bytes": int(fields["X-Payload-Length"]), "payload_digest": digest, "record_type": fields["WARC-Type"], "refers_to": number("X-Refers-To-Page-ID"), "url": json.loads(fields["X-Target-URI-As-Stored"]) if "X-Target-URI-As-Stored" in fields else fields["WARC-Target-URI"], "payload": payload}
 
 
 def _squeezed(raw: bytes, level: int = LEVEL) -> bytes:
@@ -120,12 +125,16 @@ class _Files:
         self.stem, self.suffix, self.most = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}", suffix, most
         self.out, self.name, self.at, self.n = None, "", 0, 0
 
-    def put(self, raw: bytes) -> tuple[str, int, int]:
+    def next(self) -> tuple[str, int]:
+        """Where what is put next will stand."""
         if self.out is None or self.at >= self.most:
             self.close()
             self.name, self.at, self.n = f"{self.stem}-{self.n:04d}{self.suffix}", 0, self.n + 1
             self.out = self.system.open_output_stream(f"{self.dir}/{self.name}", compression=None)
-        place = (self.name, self.at, len(raw))
+        return self.name, self.at
+
+    def put(self, raw: bytes) -> tuple[str, int, int]:
+        place = (*self.next(), len(raw))
         self.out.write(raw)
         self.at += len(raw)
         return place
@@ -157,7 +166,7 @@ def write_archives(pages: DataFrame, at: str, *, id_col: str = "page_id", url_co
             for page, url, payload, first in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 digest = base32_sha1(payload)
                 revisit = first is not None and first != page
-                place = files.put(_squeezed(record(page, url, payload, digest, first, revisit), level))
+                place = files.put(_squeezed(record(page, url, payload, digest, first, revisit, place="{}:{}".format(*files.next())), level))
                 rows.append((url_key(url), page, url, *place, digest, _REVISIT if revisit else _RESPONSE))
             yield batch(_CAPTURE_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_CAPTURE_ARROW.names)})
         files.close()
@@ -197,20 +206,78 @@ def _block(system: fs.FileSystem, folder: str, file: str, at: int, size: int) ->
         return [json.loads(x) for x in zlib.decompress(f.read_at(size, at), 31).decode().splitlines()]
 
 
-def lookup(directory: DataFrame, index_at: str, archives_at: str, url: str) -> list[dict]:
-    """The records of one URL, over byte ranges only."""
-    key = url_key(url)
-    system, folder = store(index_at)
-    archive, archives = store(archives_at)
-    found = []
-    # The blocks whose range of keys holds the key: one, unless the URL alone fills several.
-    for b in sorted(tuple(r) for r in directory.where((F.col("first_key") <= key) & (F.col("last_key") >= key)).select("part", "file", "at", "size").collect()):
-        lines = _block(system, folder, *b[1:])
-        keys = [x[0] for x in lines]
-        for x in lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]:
-            with archive.open_input_file(f"{archives}/{x[2]}") as f:
-                found.append(parse(zlib.decompress(f.read_at(x[4], x[3]), 31)))
-    return [r for r in found if r["url"] == url]
+def _between(first: list[str], last: list[str], key: str) -> range:
+    """Which of sorted stretches, told by their first and last keys, may hold a key: one, unless the key fills several."""
+    return range(bisect.bisect_left(last, key), bisect.bisect_right(first, key))
+
+
+def _parts(directory: DataFrame) -> list:
+    """The first and last key of each part, in order: as many rows as the index had tasks."""
+    return sorted(tuple(r) for r in directory.groupBy("part").agg(F.min("first_key").alias("first"), F.max("last_key").alias("last")).select("first", "last", "part").collect())
+
+
+def _lines_of(lines: list[list], key: str) -> list[list]:
+    at = lambda x: x[0]
+    return lines[bisect.bisect_left(lines, key, key=at) : bisect.bisect_right(lines, key, key=at)]
+
+
+class Index:
+    """Looks up single URLs. Of the directory it holds the parts' first and last keys, and the parts that were asked for."""
+
+    def __init__(self, directory: DataFrame, index_at: str, archives_at: str):
+        self.directory, self.index, self.archives = directory, store(index_at), store(archives_at)
+        self.first, self.last, self.part = (list(x) for x in zip(*_parts(directory), strict=True)) if not directory.isEmpty() else ([], [], [])
+        self.held: dict[int, list] = {}
+
+    def _blocks(self, part: int) -> list:
+        if part not in self.held:
+            self.held[part] = sorted(tuple(r) for r in self.directory.where(F.col("part") == part).select("file", "at", "size", "first_key", "last_key").collect())
+        return self.held[part]
+
+    def lookup(self, url: str) -> list[dict]:
+        """The records of one URL, over byte ranges only."""
+        key, found = url_key(url), []
+        for p in _between(self.first, self.last, key):
+            blocks = self._blocks(self.part[p])
+            for i in _between([b[3] for b in blocks], [b[4] for b in blocks], key):
+                for x in _lines_of(_block(*self.index, *blocks[i][:3]), key):
+                    with self.archives[0].open_input_file(f"{self.archives[1]}/{x[2]}") as f:
+                        found.append(parse(zlib.decompress(f.read_at(x[4], x[3]), 31)))
+        return [r for r in found if r["url"] == url]
+
+
+def lookup_all(urls: DataFrame, directory: DataFrame, index_at: str, archives_at: str, *, url_col: str = "url") -> DataFrame:
+    """All records of the URLs of a table, with their payloads (null for revisits). A URL that is asked for twice is found once."""
+    parts = _parts(directory)
+    first, last, number = [p[0] for p in parts], [p[1] for p in parts], [p[2] for p in parts]
+    asked_schema = pa.schema([("part", pa.int64()), ("key", pa.string())])
+    place_schema = pa.schema([("file", pa.string()), ("at", pa.int64()), ("size", pa.int64())])
+
+    def dealt(batches):
+        for b in pieces(batches, 4096):
+            rows = {(number[p], key) for key in map(url_key, b.column(0).to_pylist()) for p in _between(first, last, key)}
+            yield batch(asked_schema, part=[r[0] for r in rows], key=[r[1] for r in rows])
+
+    def searched(one: pa.Table, two: pa.Table) -> pa.Table:
+        system, folder = store(index_at)
+        two = two.sort_by([("file", "ascending"), ("at", "ascending")])
+        blocks = list(zip(*(two.column(c).to_pylist() for c in ("file", "at", "size")), strict=True))
+        starts, ends = two.column("first_key").to_pylist(), two.column("last_key").to_pylist()
+        wanted: dict[int, list[str]] = {}
+        for key in one.column("key").to_pylist():
+            for i in _between(starts, ends, key):
+                wanted.setdefault(i, []).append(key)
+        found = []
+        for i, keys in sorted(wanted.items()):
+            lines = _block(system, folder, *blocks[i])
+            found += [x for key in keys for x in _lines_of(lines, key)]
+        return pa.Table.from_batches([batch(place_schema, file=[x[2] for x in found], at=[x[3] for x in found], size=[x[4] for x in found])])
+
+    wanted = urls.select(F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url")).distinct()
+    asked = wanted.select("url").mapInArrow(dealt, "part long, key string").distinct()
+    places = asked.groupBy("part").cogroup(directory.groupBy("part")).applyInArrow(searched, "file string, at long, size long")
+    # Other URLs may have the same key.
+    return _records(places, archives_at).join(wanted, "url", "left_semi")
 
 
 def read_archives(directory: DataFrame, index_at: str, archives_at: str) -> DataFrame:
@@ -224,6 +291,12 @@ def read_archives(directory: DataFrame, index_at: str, archives_at: str) -> Data
                 lines = _block(system, folder, file, at, size)
                 yield batch(schema, file=[x[2] for x in lines], at=[x[3] for x in lines], size=[x[4] for x in lines])
 
+    return _records(directory.select("file", "at", "size").repartition("file", "at").mapInArrow(entries, "file string, at long, size long"), archives_at)
+
+
+def _records(places: DataFrame, archives_at: str) -> DataFrame:
+    """The records at these places. A file's are read in their order; a long file is dealt out in stretches."""
+
     def records(batches):
         system, folder = store(archives_at)
         name, f = None, None
@@ -239,18 +312,17 @@ def read_archives(directory: DataFrame, index_at: str, archives_at: str) -> Data
         if f is not None:
             f.close()
 
-    places = directory.select("file", "at", "size").repartition("file", "at").mapInArrow(entries, "file string, at long, size long")
-    # A file's records are read in order of place; a long file is dealt out in stretches.
     stretch = F.floor(F.col("at") / (1 << 24))
     return places.withColumn("stretch", stretch).repartition("file", "stretch").sortWithinPartitions("file", "at").select("file", "at", "size").mapInArrow(records, _RECORD)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written to archives, indexed, and read back by the index."""
+    """All pages written to archives, indexed, and looked up again by their URLs."""
     archives, index = shared_dir(spark, "warc"), shared_dir(spark, "cdx")
-    captures = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), archives)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    captures = write_archives(pages, archives)
     directory = write_index(captures, index)
-    return read_archives(directory, index, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return lookup_all(pages, directory, index, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE_SQL = r"""

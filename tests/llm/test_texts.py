@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -212,18 +213,29 @@ def test_spans(spark, odd_rows, clashing, nothing):
     assert not any("10.0.0.256" in rows[0][1][int(a) : int(b)] for _, a, b in (x.split(":") for x in found[0]))
 
 
+class All:
+    def __init__(self, answer):
+        self.answer = answer
+
+    def accepts(self, code, mark):
+        return self.answer
+
+
+YES, NO = All(True), All(False)
+
+
 @pytest.mark.parametrize("text", ['contact: "James Miller" today', "(Sarah Smith) wrote", "author=James Miller", "[Jürgen Schmidt]", "seen by-José García."])
 def test_names_after_signs_are_candidates(text):
     names = [text[a:b] for k, a, b, _ in pii.candidates(text)[1] if k == "name"]
     assert names == re.findall(r"(?:James|Sarah|Jürgen|José) \w+", text)
-    assert "[NAME]" in pii.redact(text, frozenset(c for _, _, _, c in pii.candidates(text)[1]))
+    assert "[NAME]" in pii.redact(text, YES)
 
 
 def test_long_secrets_are_taken_whole():
     text = "token=" + "aB3_" * 100 + " end"
     every = pii.candidates(text)[1]
     assert [text[a:b] for k, a, b, _ in every if k == "secret"] == ["aB3_" * 100]
-    assert pii.redact(text, frozenset(c for _, _, _, c in every)) == "token=[SECRET] end"
+    assert pii.redact(text, YES) == "token=[SECRET] end"
 
 
 def test_op7(spark, small):
@@ -239,8 +251,65 @@ def test_op7(spark, small):
 
 
 def test_patterns_take_linear_time():
-    for text in ("a" * 200_000 + "@", "1" * 200_000, "1." * 100_000, "+1" * 100_000, "a@" * 100_000, "1 " * 100_000, "@a." * 60_000, "AB12" + "C" * 100_000, "+1" + "(" * 200_000):
-        pii.candidates(text)
+    def seconds(f, *arguments):
+        began = time.process_time()
+        f(*arguments)
+        return time.process_time() - began
+
+    for unit in ("a", "1", "1.", "+1", "a@", "1 ", "@a.", "C", "(", "+1 (", "Aa ", "key="):
+        small, large = (min(seconds(pii.candidates, "AB12" + unit * n + "@") for _ in range(2)) for n in (20_000, 80_000))
+        assert large < 12 * small + 0.3, unit
+
+
+def test_merging_takes_linear_time():
+    spans = [("email", 20 * i, 20 * i + 8) for i in range(100_000)]
+    extra = [("phone", 20 * i + 5 * (i % 3), 20 * i + 16, True) for i in range(100_000)]
+    began = time.process_time()
+    found = pii.merged(spans, extra)
+    assert time.process_time() - began < 20 and len(found) == 100_000 + len([1 for i in range(100_000) if i % 3 == 2])
+
+
+@settings(max_examples=300, deadline=None)
+@given(base=st.lists(st.tuples(st.integers(0, 30), st.integers(1, 8)), max_size=6), more=st.lists(st.tuples(st.integers(0, 30), st.integers(1, 8), st.booleans()), max_size=8))
+def test_merging_is_the_plain_rule(base, more):
+    base = sorted({("ip", a, a + n) for a, n in base})
+    more = [("phone", a, a + n, good) for a, n, good in more]
+    want = list(base)
+    for k, a, e, good in sorted(more, key=lambda x: (x[1], -x[2])):
+        if good and all(y <= a or e <= x for _, x, y in want):
+            want.append((k, a, e))
+    assert pii.merged(base, more) == sorted(want, key=lambda x: (pii.KINDS.index(x[0]), x[1], x[2]))
+
+
+def test_valid_cards_and_addresses_are_personal():
+    """Kinds of which almost every candidate is right must not be taken for the other class."""
+    texts = [f"at 10.1.2.{i % 250} paid 4111 1111 1111 1111 by a{i}@b.example or +49 30 123{i:04d} password=abcdef0123456789{i:04d}" for i in range(200)]
+    codes, counts = np.unique([c for t in texts for _, _, _, c in pii.candidates(t)[1]], return_counts=True)
+    p, right = pii.reliabilities(codes, counts.astype(float))
+    kind, votes, _ = pii.parts(codes)
+    sure = (votes == pii.PERSONAL).any(1) & ~(votes == pii.NOT).any(1)
+    assert sure.sum() >= 5 and (p[sure] > 0.9).all() and (right > 0.5).all()
+
+
+def test_the_classifier_overrules_the_votes():
+    """Local numbers have votes by the words before them alone; what follows and their shape tells real ones from others."""
+    rng = random.Random(3)
+    sample, truth = [], []
+    for i in range(600):
+        real, told = i % 2 == 0, rng.random() < 0.7  # cues that hold in seven of ten cases
+        cue = ("call " if real == told else "order ") if rng.random() < 0.8 else "the "
+        text = f"{prose(rng, 5)} {cue}{rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}{' tonight please' if real else ' units shipped'} {prose(rng, 5)}"
+        found = [(c, pii.mark(text, a, b)) for k, a, b, c in pii.candidates(text)[1] if k == "phone"]
+        assert len(found) == 1
+        sample.append((*found[0], 1))
+        truth.append(real)
+    codes, counts = np.unique([x[0] for x in sample], return_counts=True)
+    p, _ = pii.reliabilities(codes, counts.astype(float))
+    model = pii.train(codes, counts.astype(float), sample[:400])
+    late = range(400, 600)
+    by_votes = np.mean([(p[np.searchsorted(codes, sample[i][0])] >= 0.5) == truth[i] for i in late])
+    by_model = np.mean([model.accepts(*sample[i][:2]) == truth[i] for i in late])
+    assert by_model > by_votes + 0.05 and by_model > 0.85
 
 
 def test_em_recovers_reliabilities():
@@ -253,19 +322,18 @@ def test_em_recovers_reliabilities():
         codes = codes * 3 + np.where(rng.random(len(truth)) < 0.2, pii.NONE, np.where(right == truth, pii.PERSONAL, pii.NOT))
     codes *= 27
     values, counts = np.unique(codes, return_counts=True)
-    p, table = pii.reliabilities(values, counts.astype(float))
-    said = table[:, 1, pii.PERSONAL] / (table[:, 1, pii.PERSONAL] + table[:, 1, pii.NOT])
+    p, said = pii.reliabilities(values, counts.astype(float))
     assert np.abs(said - skill).max() < 0.03
     _, votes, _ = pii.parts(values)
     weight = np.log(np.array(skill) / (1 - np.array(skill)))
     best = ((votes == pii.PERSONAL) @ weight) > ((votes == pii.NOT) @ weight)  # who knows the skills
     right = lambda decided: (decided[np.searchsorted(values, codes)] == truth).mean()
     assert right(p > 0.5) > right(best) - 0.005
-    assert np.abs(pii.train(values, counts.astype(float)) - p).max() < 0.4 and not len(pii.train(np.zeros(0, np.int64), np.zeros(0)))
+    assert 0 <= pii.train(np.zeros(0, np.int64), np.zeros(0), []).probability(0, "") <= 1
 
 
 def test_redaction():
-    codes = frozenset()
+    codes = NO
     assert pii.redact("to a@b.io, a@b.io!", codes) == "to [EMAIL], [EMAIL]!"
     assert pii.redact("", codes) == "" and pii.redact("nothing", codes) == "nothing"
     out = pii.redact(PERSONAL, codes)

@@ -184,18 +184,21 @@ class Model:
     The last ``parts`` of the classes whose ``shares`` are given have ``parts`` slots each; without any, inputs are classes.
     """
 
-    NAMES = ("inp", "a", "b", "out", "bias")
+    NAMES = ("inp", "ab", "out", "bias")
 
     def __init__(self, shares: np.ndarray, width: int = WIDTH, seed: int = 7, parts: int = 0):
         rng, n = np.random.default_rng(seed), len(shares)
         self.noise, self.parts, self.top = shares, parts, n - parts
         self.of = np.concatenate((np.arange(self.top), self.top + np.repeat(np.arange(parts), parts)))  # the class of each code
         self.inp = rng.normal(0, 0.1, (len(self.of) + 1, width)).astype(np.float32)
-        self.a = (np.eye(width) * 0.5 + rng.normal(0, 0.05, (width, width))).astype(np.float32)
-        self.b = (np.eye(width) * 0.5 + rng.normal(0, 0.05, (width, width))).astype(np.float32)
+        self.ab = (np.tile(np.eye(width), (2, 1)) * 0.5 + rng.normal(0, 0.05, (2 * width, width))).astype(np.float32)  # A above B
         self.out = rng.normal(0, 0.1, (n, width)).astype(np.float32)
         self.bias = np.log(shares).astype(np.float32)
 
+    def halves(self) -> tuple[np.ndarray, np.ndarray]:
+        """What a code adds to the predicted vector as the token two places before, and as the one before."""
+        return self.inp @ self.ab[: self.inp.shape[1]], self.inp @ self.ab[self.inp.shape[1] :]
+
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, k).ravel() for k in self.NAMES])
 
@@ -209,7 +212,7 @@ class Model:
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Natural logarithms for classes ``w`` after ``x`` and then ``y``, normalised over all classes."""
         place, pairs = pd.factorize(x.astype(np.int64) * len(self.inp) + y)
-        first, second = self.inp @ self.a, self.inp @ self.b
+        first, second = self.halves()
         r = first[pairs // len(self.inp)] + second[pairs % len(self.inp)]
         norm = log_norms(r, self.out, self.bias)
         result = np.empty(len(w), np.float64)
@@ -253,23 +256,25 @@ class Trainer:
         self.log_noise = np.log(noise * model.noise).astype(np.float32)
 
     def step(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> None:
-        m, n = self.m, len(w)
-        qx, qy = m.inp[x], m.inp[y]
-        r = qx @ m.a + qy @ m.b
+        m, n, width = self.m, len(w), self.m.inp.shape[1]
+        both = np.stack((x, y), 1)
+        q = m.inp[both].reshape(n, 2 * width)
+        r = q @ m.ab
         drawn = np.minimum(np.searchsorted(self.cumulative, self.rng.random(self.k) * self.cumulative[-1]), len(m.noise) - 1)
         out, noise = m.out[w], m.out[drawn]
-        eg = (sigmoid(np.einsum("ij,ij->i", r, out) + m.bias[w] - self.log_noise[w]) - 1)[:, None]
-        eb = r @ noise.T
-        eb += m.bias[drawn] - self.log_noise[drawn]
-        eb = sigmoid(eb)
+        eg = (probabilities(self.log_noise[w] - m.bias[w] - np.einsum("ij,ij->i", r, out)) - 1)[:, None]
+        eb = r @ -noise.T
+        eb += self.log_noise[drawn] - m.bias[drawn]
+        eb = probabilities(eb)
         dr = eg * out + eb @ noise
-        one = np.float32(1 / 64)  # as steep as in batches of 64
-        grads = {"a": qx.T @ dr * one, "b": qy.T @ dr * one}
+        dr *= np.float32(1 / 64)  # as steep as in batches of 64
+        grads = {"ab": q.T @ dr}
+        eg, eb = eg * np.float32(1 / 64), eb * np.float32(1 / 64)
         used, place = np.unique(np.concatenate((w, drawn)), return_inverse=True)
-        grads["out"] = used, _sum_rows(place, np.concatenate((eg * r, eb.T @ r)), len(used)) * one
-        grads["bias"] = used, np.bincount(place, np.concatenate((eg[:, 0], eb.sum(0))), len(used)).astype(np.float32) * one
-        used, place = np.unique(np.concatenate((x, y)), return_inverse=True)
-        grads["inp"] = used, _sum_rows(place, np.concatenate((dr @ m.a.T, dr @ m.b.T)), len(used)) * one
+        grads["out"] = used, _sum_rows(place, np.concatenate((eg * r, eb.T @ r)), len(used))
+        grads["bias"] = used, np.bincount(place, np.concatenate((eg[:, 0], eb.sum(0))), len(used)).astype(np.float32)
+        used, place = np.unique(both, return_inverse=True)
+        grads["inp"] = used, _sum_rows(place.ravel(), (dr @ m.ab.T).reshape(2 * n, width), len(used))
         for k, g in grads.items():
             at, g = g if isinstance(g, tuple) else (slice(None), g)
             own = self.sums[k][at] + g * g
@@ -277,11 +282,10 @@ class Trainer:
             getattr(m, k)[at] -= self.rate * g / np.sqrt(own)
 
 
-def sigmoid(z: np.ndarray) -> np.ndarray:
-    """In the array's own memory."""
-    np.clip(z, -20, 20, out=z)
-    np.negative(z, out=z)
-    np.exp(z, out=z)
+def probabilities(z: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(z)), in the array's own memory."""
+    with np.errstate(over="ignore"):
+        np.exp(z, out=z)
     z += 1
     return np.reciprocal(z, out=z)
 
@@ -445,10 +449,10 @@ class Level:
         for at in range(0, len(w), size):
             q, t = r(slice(at, at + size)), w[at : at + size]
             drawn = np.minimum(np.searchsorted(cumulative, rng.random(noise) * cumulative[-1]), len(cumulative) - 1)
-            eg = sigmoid(np.einsum("ij,ij->i", q, self.out[t]) + self.bias[t] - log_noise[t]) - 1
-            eb = q @ self.out[drawn].T
-            eb += self.bias[drawn] - log_noise[drawn]
-            eb = sigmoid(eb)
+            eg = probabilities(log_noise[t] - self.bias[t] - np.einsum("ij,ij->i", q, self.out[t])) - 1
+            eb = q @ -self.out[drawn].T
+            eb += log_noise[drawn] - self.bias[drawn]
+            eb = probabilities(eb)
             used, place = np.unique(np.concatenate((t, drawn)), return_inverse=True)
             g = _sum_rows(place, np.concatenate((eg[:, None] * q, eb.T @ q)), len(used)) / 64
             gb = np.bincount(place, np.concatenate((eg, eb.sum(0))), len(used)).astype(np.float32) / 64
@@ -501,7 +505,7 @@ def within(first: np.ndarray, second: np.ndarray, x, y, slot, leaf, train, membe
 
 def slot_scores(found: DataFrame, members: DataFrame, model: Model, replicas: int) -> DataFrame:
     """For each block the sums over its texts of the log10 probabilities of slots and leaves; a replica of a class in one task."""
-    shared = found.sparkSession.sparkContext.broadcast((model.inp @ model.a, model.inp @ model.b))
+    shared = found.sparkSession.sparkContext.broadcast(model.halves())
     parts = model.parts
 
     def fit(key, left: pa.Table, right: pa.Table) -> pa.Table:

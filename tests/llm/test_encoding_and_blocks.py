@@ -4,12 +4,14 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from braidflow.llm import encoding, packing, pfor, token_output
 from braidflow.llm.common import shared_dir
 
 FILES = ("byte_bpe_50k.json", "word_bpe_49k.json")
-PARTS = st.sampled_from(["a", "the", " the", "'s", "É", "é", "ß", "Σ", "İ", " ", "  ", "\n", "\n\n", "\t", "\r\n", ",", ".", "..", "!?", "_", "1", "23", " ", "\x1c", "\x01", "\0", "<|endoftext|>", "<|", "你", "\U0001f600"])
+PARTS = st.sampled_from(["###", "x's", "(a", "Å", "J", "\u030c", "\u0301", "\u212a", "\u2028", "\u3000", "“", "½", "a,b", "1.5", "é.", "×,", "a", "the", " the", "'s", "É", "é", "ß", "Σ", "İ", " ", "  ", "\n", "\n\n", "\t", "\r\n", ",", ".", "..", "!?", "_", "1", "23", " ", "\x1c", "\x01", "\0", "<|endoftext|>", "<|", "你", "\U0001f600"])
 
 
 @pytest.fixture(scope="module", params=FILES)
@@ -125,6 +127,35 @@ def test_op5(spark, small):
     assert check_packing(list(map(tuple, packing.op5_packing(spark, small).collect())), want) < 0.02
 
 
+def test_repeated_rows_and_clashing_names(spark, clashing, odd_rows):
+    byte, word = (encoding.default_path(f) for f in FILES)
+    docs = clashing.select("*", *[F.lit("x").alias(c) for c in ("hash", "origin", "doc_tokens", "length", "offset", "ids", "before", "payload")]).unionAll(clashing.select("*", *[F.lit("x")] * 8))
+    want = {}
+    for r in odd_rows * 2:
+        want.setdefault(r[0], []).append(brute(encoding.encoder(byte), r[1]))
+    check_packing([(r.doc_id, r.start, r.length, zlib.crc32(bytes(r.ids)), r.doc_tokens, r.sequence_id, r.offset) for r in packing.pack(docs, byte, group_chars=50_000).collect()], want)
+    check_packing(list(map(tuple, corpus_pipeline.packed(spark, docs, "").collect())), want)
+    got = sorted((r.start, str(r.doc_id), r.n_tokens, bytes(r.ids)) for r in token_output.read(spark, token_output.write(docs, word, shared_dir(spark, "t"))).collect())
+    assert [g[0] for g in got] == np.concatenate(([0], np.cumsum([g[2] for g in got])))[:-1].tolist()
+    ids = lambda t: np.array(brute(encoding.encoder(word), t), "<u4").tobytes()
+    assert sorted(g[1::2] for g in got) == sorted((str(r[0]), ids(r[1])) for r in odd_rows * 2)
+
+
+def test_a_repeated_row_is_many_groups(spark):
+    docs = spark.createDataFrame([(7, "the same text again and again")] * 4000, "doc_id long, text string").repartition(8)
+    rows = packing.pack(docs, encoding.default_path(FILES[0]), group_chars=10_000).groupBy((F.col("sequence_id") / (1 << 32)).cast("long")).count().collect()
+    assert sum(r["count"] for r in rows) == 4000 and len(rows) > 3
+
+
+def test_starts_of_repeated_ids_do_not_depend_on_the_order(spark):
+    path, rows = encoding.default_path(FILES[1]), [(5, f"text number {i} {'x ' * (i % 7)}") for i in range(60)] + [(4, "a"), (6, "b")]
+    found = []
+    for n in (1, 5):
+        docs = spark.createDataFrame(rows[::-1] if n == 1 else rows, "doc_id long, text string").repartition(n)
+        found.append(sorted((r.start, r.doc_id, bytes(r.ids)) for r in token_output.read(spark, token_output.write(docs, path, shared_dir(spark, "t"))).collect()))
+    assert found[0] == found[1]
+
+
 @settings(max_examples=200, deadline=None)
 @given(lengths=st.lists(st.integers(1, 16), max_size=60))
 def test_best_fit_decreasing_is_the_plain_rule(lengths):

@@ -145,6 +145,16 @@ def text_slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[np.ndar
         at = end
 
 
+def string_hashes(column: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each whole string, by its bytes as they are."""
+    found = []
+    for data, at in text_slices(column):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTE_CODE[data] * _powers(_BASE, len(data))[: len(data)], out=total[1:])
+        found.append(mix64((total[at[1:]] - total[at[:-1]]) * _powers(_INVERSE, len(data) + 1)[at[:-1]] + np.diff(at).astype(np.uint64)))
+    return np.concatenate(found or [np.zeros(0, np.uint64)])
+
+
 def words_of_texts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of ``word_hashes`` for all words of several texts, and where each text's begin (one more at the end)."""
     if not len(data):

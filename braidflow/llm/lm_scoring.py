@@ -5,9 +5,10 @@ end token for each text. The work goes through blocks of texts:
 
 1. every task codes its texts in blocks of at most ``BLOCK_TOKENS`` tokens
    against the block's own dictionary, so that only a block's distinct tokens,
-   not the tokens of its texts, are shuffled to be counted;
-2. the counts of all tokens over all training texts are summed, and each block
-   gets back the counts of its own tokens;
+   not the tokens of its texts, are shuffled to be counted; they are dealt by hash to
+   ``CELLS`` cells, and a block's tokens of one cell travel as one row;
+2. the counts of all tokens over all training texts are summed cell by cell, and each
+   block gets back the counts of its own tokens;
 3. the ``CLASSES`` most frequent tokens are classes of their own. All others are
    dealt by hash to S x S slots in S further classes, S the cube root of their
    number, so that a slot has about S tokens however large the corpus is; within
@@ -42,15 +43,19 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidflow.llm.common import batch, doc_crc, forget, mix64, pieces, settled
+from braidflow.llm.common import batch, doc_crc, forget, mix64, pieces, settled, string_hashes
 
 BLOCK_TOKENS = 4_000_000
 BLOCK_BYTES = 64 << 20
+#: Parts of the dictionary, told by the first bits of a token's hash; a task holds one cell of all blocks at a time.
+CELL_BITS = 10
+CELLS = 1 << CELL_BITS
 #: Tokens whose places are sorted by class at a time.
 PLACES_TOKENS = 1_000_000
 CLASSES = 255
@@ -67,8 +72,8 @@ MINI_BATCH = 2048
 #: Stands for the end of a text; no word can hold it.
 END = b"\n"
 
-_CODED = "block long, doc_id long, hash long, train boolean, ids binary, tokens long, token binary, local int, n long"
-_CODED_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("train", pa.bool_()), ("ids", pa.binary()), ("tokens", pa.int64()), ("token", pa.binary()), ("local", pa.int32()), ("n", pa.int64())])
+_CODED = "block long, doc_id long, hash long, train boolean, ids binary, tokens long, cell int, words binary"
+_CODED_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("train", pa.bool_()), ("ids", pa.binary()), ("tokens", pa.int64()), ("cell", pa.int32()), ("words", pa.binary())])
 _CLASSED = "block long, doc int, doc_id long, hash long, train boolean, n_tokens long, n_known long, base_score double, codes binary, leaves binary"
 _CLASSED_ARROW = pa.schema([("block", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("hash", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("codes", pa.binary()), ("leaves", pa.binary())])
 
@@ -94,6 +99,29 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def words_packed(tokens: pa.Array, local: np.ndarray, n: np.ndarray) -> bytes:
+    """Tokens, their numbers in their block's dictionary and their training counts, compressed."""
+    offsets = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset : tokens.offset + len(tokens) + 1]
+    data = tokens.buffers()[2]
+    head = np.concatenate(([len(tokens)], np.diff(offsets), local, n)).astype("<i8").tobytes()
+    return _PRESS.compress(head + (data[int(offsets[0]) : int(offsets[-1])].to_pybytes() if data else b""))
+
+
+def words_unpacked(raws: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of several packs as a dictionary of the distinct ones, their numbers, their counts, and how many each pack has."""
+    held: tuple[list, ...] = ([], [], [], [])
+    for raw in raws:
+        raw = _UNPRESS.decompress(raw)
+        k = int(np.frombuffer(raw, "<i8", 1)[0])
+        for j in range(3):
+            held[j].append(np.frombuffer(raw, "<i8", k, 8 + 8 * j * k))
+        held[3].append(raw[8 + 24 * k :])
+    lengths, local, n = (np.concatenate(x) for x in held[:3])
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    tokens = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(held[3]))])
+    return tokens.dictionary_encode(), local, n, np.array([len(x) for x in held[0]])
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IN_WORD = np.ones(256, bool)
@@ -119,7 +147,7 @@ def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def coded(docs: DataFrame, train: Column, id_col: str, text_col: str, block_tokens: int) -> DataFrame:
-    """Rows of texts (ids in their block's dictionary, packed) and rows of dictionaries (token, its number, its training count)."""
+    """Rows of texts (ids in their block's dictionary, packed) and rows of dictionaries (a block's tokens of one cell, packed)."""
 
     def code(batches):
         part, seq, names, hashes, trains, held, size, raw = TaskContext.get().partitionId(), 0, [], [], [], [], 0, 0
@@ -136,12 +164,15 @@ def coded(docs: DataFrame, train: Column, id_col: str, text_col: str, block_toke
             ids[word] = own.indices.to_numpy()
             counts = np.bincount(ids[np.repeat(np.array(trains, bool), per + 1)], minlength=len(own.dictionary) + 1)
             none = [None] * len(names)
-            yield batch(_CODED_ARROW, block=[block] * len(names), doc_id=names, hash=hashes, train=trains, ids=[press(ids[a:z].tobytes()) for a, z in zip((ends - per - 1).tolist(), ends.tolist(), strict=True)], tokens=per + 1, token=none, local=none, n=none)
-            words = [*own.dictionary.to_pylist(), END]
-            for at in range(0, len(words), 50_000):
-                some = words[at : at + 50_000]
-                none = [None] * len(some)
-                yield batch(_CODED_ARROW, block=[block] * len(some), doc_id=none, hash=none, train=none, ids=none, tokens=none, token=some, local=np.arange(at, at + len(some)), n=counts[at : at + len(some)])
+            yield batch(_CODED_ARROW, block=[block] * len(names), doc_id=names, hash=hashes, train=trains, ids=[press(ids[a:z].tobytes()) for a, z in zip((ends - per - 1).tolist(), ends.tolist(), strict=True)], tokens=per + 1, cell=none, words=none)
+            words = pa.concat_arrays([own.dictionary.cast(pa.large_binary()), pa.array([END], pa.large_binary())])
+            cell = (string_hashes(words) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+            order = by_key(cell, CELLS)
+            words, cell, counts = words.take(pa.array(order)), cell[order], counts[order]
+            starts = _starts(cell)
+            packs = [words_packed(words.slice(a, z - a), order[a:z], counts[a:z]) for a, z in zip(starts.tolist(), [*starts[1:].tolist(), len(cell)], strict=True)]
+            none = [None] * len(packs)
+            yield batch(_CODED_ARROW, block=[block] * len(packs), doc_id=none, hash=none, train=none, ids=none, tokens=none, cell=cell[starts], words=packs)
 
         for b in pieces(batches, 256):
             names += b.column("doc_id").to_pylist()
@@ -159,32 +190,106 @@ def coded(docs: DataFrame, train: Column, id_col: str, text_col: str, block_toke
     return chosen.withColumn("hash", F.xxhash64("doc_id", "text")).mapInArrow(code, _CODED)
 
 
-def classed(texts: DataFrame, words: DataFrame, total: int, distinct: int) -> DataFrame:
-    """For each text the base score, the codes of its tokens (class or, after the classes, slot) and the leaves of those in slots."""
+_COUNTED = pa.schema([("token", pa.binary()), ("c", pa.int64()), ("total", pa.int64()), ("types", pa.int64())])
+
+
+def counted(words: DataFrame, most: int) -> DataFrame:
+    """For each cell a row with the sum of its tokens' training counts and how many tokens have any, and its ``most`` frequent tokens."""
+
+    def count(table: pa.Table) -> pa.Table:
+        tokens, _, n, _ = words_unpacked(table.column("words").to_pylist())
+        c = np.bincount(tokens.indices.to_numpy(), n, len(tokens.dictionary)).astype(np.int64)
+        known = np.flatnonzero(c)
+        if len(known) > most:
+            known = known[c[known] >= -np.partition(-c[known], most - 1)[most - 1]]
+        some = pa.table({"token": tokens.dictionary.take(pa.array(known)), "c": c[known]}).sort_by([("c", "descending"), ("token", "ascending")]).slice(0, most)
+        return pa.Table.from_batches([batch(_COUNTED, token=[None, *some.column("token").to_pylist()], c=[None, *some.column("c").to_pylist()], total=[int(c.sum()), *[None] * len(some)], types=[int((c > 0).sum()), *[None] * len(some)])])
+
+    return words.groupBy("cell").applyInArrow(count, "token binary, c long, total long, types long")
+
+
+_TYPES = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("local", pa.binary()), ("code", pa.binary()), ("leaf", pa.binary()), ("c", pa.binary()), ("total", pa.int64())])
+
+
+def cells_joined(slots: int) -> int:
+    """How many cells, a power of two, share slots, so that there is one at least for each group of cells."""
+    k = 1
+    while k < CELLS and CELLS // k > slots:
+        k *= 2
+    return k
+
+
+def numbered(words: DataFrame, top: list[bytes], parts: int) -> DataFrame:
+    """For each block its tokens' numbers, codes, leaves and counts, and for each of the ``parts`` classes (rows without a block) slot, leaf and count of its tokens.
+
+    Each group of cells has slots of its own, to which a token is dealt by the last bits of its hash.
+    """
+    slots = parts * parts
+    joined = cells_joined(slots)
+    groups = CELLS // joined
+
+    def number(key, table: pa.Table) -> pa.Table:
+        tokens, local, n, sizes = words_unpacked(table.column("words").to_pylist())
+        at, every = tokens.indices.to_numpy(), tokens.dictionary
+        c = np.bincount(at, n, len(every)).astype(np.int64)
+        told = string_hashes(every)
+        low, high = (int(key[0].as_py()) * slots // groups, (int(key[0].as_py()) + 1) * slots // groups)
+        slot = low + ((told & np.uint64(0xFFFFFFFF)) * np.uint64(high - low) >> np.uint64(32)).astype(np.int64)
+        cls = pc.index_in(every, value_set=pa.array(top, pa.large_binary())).fill_null(-1).to_numpy()
+        member = np.flatnonzero((cls < 0) & (c > 0))
+        member = member[np.lexsort((told[member], slot[member]))]
+        starts = _starts(slot[member])
+        leaf = np.zeros(len(every), np.int64)  # 0: tokens that no training text holds
+        leaf[member] = np.arange(len(member)) - np.repeat(starts, np.diff(starts, append=len(member))) + 1
+        code, rows, a = np.where(cls < 0, slot + len(top), cls), [], 0
+        for block, size in zip(table.column("block").to_pylist(), sizes.tolist(), strict=True):
+            of = at[a : a + size]
+            rows.append((block, None, packed(local[a : a + size]), packed(code[of]), packed(leaf[of]), press(c[of].tobytes()), None))
+            a += size
+        part = slot[member] // parts
+        edges = _starts(part)
+        for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(part)], strict=False):
+            of = member[a:z]
+            rows.append((None, int(part[a]), packed(slot[of] % parts), None, packed(leaf[of]), press(c[of].tobytes()), int(c[of].sum())))
+        return pa.Table.from_batches([batch(_TYPES, **{k: [r[j] for r in rows] for j, k in enumerate(_TYPES.names)})])
+
+    schema = "block long, part int, local binary, code binary, leaf binary, c binary, total long"
+    return words.select("block", "words", F.floor(F.col("cell") / joined).alias("cells")).groupBy("cells").applyInArrow(lambda key, table: number(key, table), schema)
+
+
+def _every(column: pa.ChunkedArray, of=unpacked) -> np.ndarray:
+    return np.concatenate([of(x) for x in column.to_pylist()] or [np.zeros(0, np.uint32)])
+
+
+def _longs(raw: bytes) -> np.ndarray:
+    return np.frombuffer(unpress(raw), np.int64)
+
+
+def classed(texts: DataFrame, words: DataFrame, total: int, distinct: int, top: int) -> DataFrame:
+    """For each text the base score, the codes of its tokens (class or, after the ``top`` classes, slot) and the leaves of those in slots."""
 
     def join(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        local = right.column("local").to_numpy()
+        local = _every(right.column("local"))
         count, code, leaf = (np.zeros(len(local), t) for t in (np.int64, np.uint32, np.uint32))
-        count[local], code[local], leaf[local] = (right.column(k).to_numpy() for k in ("c", "code", "leaf"))
-        base, inside = np.log10((count + 1) / (total + distinct + 1)), np.zeros(len(local), bool)
-        inside[local] = right.column("inside").to_numpy(zero_copy_only=False)
+        count[local], code[local], leaf[local] = _every(right.column("c"), _longs), _every(right.column("code")), _every(right.column("leaf"))
+        base, inside, known = np.log10((count + 1) / (total + distinct + 1)), code >= top, count > 0
         rows = []
         for doc, (name, told, train, raw) in enumerate(zip(*(left.column(k).to_pylist() for k in ("doc_id", "hash", "train", "ids")), strict=True)):
             ids = np.frombuffer(unpress(raw), np.uint32)
-            rows.append((key[0].as_py(), doc, name, told, train, len(ids), int((count[ids] > 0).sum()), float(base[ids].sum()), packed(code[ids]), packed(leaf[ids[inside[ids]]])))
+            rows.append((key[0].as_py(), doc, name, told, train, len(ids), int(np.count_nonzero(known[ids])), float(base[ids].sum()), packed(code[ids]), packed(leaf[ids[inside[ids]]])))
         return pa.Table.from_batches([batch(_CLASSED_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_CLASSED_ARROW.names)})])
 
-    named = words.select(F.col("block").alias("of"), "local", "c", "code", "inside", "leaf")
+    named = words.select(F.col("block").alias("of"), "local", "c", "code", "leaf")
     return texts.groupBy("block").cogroup(named.groupBy("of")).applyInArrow(lambda key, left, right: join(key, left, right), _CLASSED)
 
 
 class Model:
-    """Parameters: input vectors (frequent tokens, slots and a start mark), two context matrices, output vectors, biases.
+    """Parameters: input vectors (frequent tokens, slots and a start mark), two context matrices, output vectors with their biases as last component.
 
     The last ``parts`` of the classes whose ``shares`` are given have ``parts`` slots each; without any, inputs are classes.
     """
 
-    NAMES = ("inp", "ab", "out", "bias")
+    NAMES = ("inp", "ab", "out")
 
     def __init__(self, shares: np.ndarray, width: int = WIDTH, seed: int = 7, parts: int = 0):
         rng, n = np.random.default_rng(seed), len(shares)
@@ -192,8 +297,7 @@ class Model:
         self.of = np.concatenate((np.arange(self.top), self.top + np.repeat(np.arange(parts), parts)))  # the class of each code
         self.inp = rng.normal(0, 0.1, (len(self.of) + 1, width)).astype(np.float32)
         self.ab = (np.tile(np.eye(width), (2, 1)) * 0.5 + rng.normal(0, 0.05, (2 * width, width))).astype(np.float32)  # A above B
-        self.out = rng.normal(0, 0.1, (n, width)).astype(np.float32)
-        self.bias = np.log(shares).astype(np.float32)
+        self.out = np.column_stack((rng.normal(0, 0.1, (n, width)), np.log(shares))).astype(np.float32)
 
     def halves(self) -> tuple[np.ndarray, np.ndarray]:
         """What a code adds to the predicted vector as the token two places before, and as the one before."""
@@ -212,38 +316,112 @@ class Model:
     def log_probabilities(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Natural logarithms for classes ``w`` after ``x`` and then ``y``, normalised over all classes."""
         place, pairs = pd.factorize(x.astype(np.int64) * len(self.inp) + y)
-        first, second = self.halves()
-        r = first[pairs // len(self.inp)] + second[pairs % len(self.inp)]
-        norm = log_norms(r, self.out, self.bias)
+        first, second = with_biases(*self.halves())
+        r = predicted(first, second, pairs // len(self.inp), pairs % len(self.inp))
+        norm = log_norms(r, self.out)
         result = np.empty(len(w), np.float64)
-        for at in range(0, len(w), 1 << 18):
-            p, c = place[at : at + (1 << 18)], w[at : at + (1 << 18)]
-            result[at : at + (1 << 18)] = np.einsum("ij,ij->i", r[p], self.out[c]) + self.bias[c] - norm[p]
+        for at in range(0, len(w), 1 << 16):
+            p, c = place[at : at + (1 << 16)], w[at : at + (1 << 16)]
+            result[at : at + (1 << 16)] = np.einsum("ij,ij->i", r.take(p, axis=0), self.out.take(c, axis=0)) - norm[p]
         return result
 
 
-def log_norms(r: np.ndarray, out: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """The logarithm of the sum of exp(r out + bias) over all output vectors, for each row of ``r``."""
-    norm, turned = np.empty(len(r), np.float32), out.T.copy()
-    rows = max(256, 500_000 // max(1, len(out)))
+def with_biases(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Halves whose sums end with 1, which meets the bias of an output vector."""
+    return np.column_stack((first, np.ones(len(first), np.float32))), np.column_stack((second, np.zeros(len(second), np.float32)))
+
+
+def predicted(first: np.ndarray, second: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    r = first.take(x, axis=0)
+    r += second.take(y, axis=0)
+    return r
+
+
+def log_norms(r: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """The logarithm of the sum of exp(r out) over all output vectors, for each row of ``r``; both have the bias's component."""
+    norm, turned, ones = np.empty(len(r), np.float32), out.T.copy(), np.ones(len(out), np.float32)
+    rows = max(256, 200_000 // len(out))
+    held = np.empty((min(rows, len(r)), len(out)), np.float32)
+    longest = [np.sqrt(np.einsum("ij,ij->i", v[:, :-1], v[:, :-1]).max(initial=0)) for v in (r, out)]
+    low = longest[0] * longest[1] + out[:, -1].max() <= 60  # no product can be larger
     for at in range(0, len(r), rows):
-        z = r[at : at + rows] @ turned
-        z += bias
-        if z.max(initial=0) > 60:
+        some = r[at : at + rows]
+        z = np.matmul(some, turned, out=held[: len(some)])
+        if low or z.max() <= 60:
+            norm[at : at + rows] = np.log(np.exp(z, out=z) @ ones + np.float32(1e-35))
+        else:
             top = z.max(1)
             z -= top[:, None]
-            norm[at : at + rows] = np.log(np.exp(z, out=z).sum(1)) + top
-        else:
-            norm[at : at + rows] = np.log(np.exp(z, out=z).sum(1) + np.float32(1e-35))
+            norm[at : at + rows] = np.log(np.exp(z, out=z) @ ones) + top
     return norm
 
 
-def _sum_rows(keys: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """The sum of the rows of ``values`` by key; every key from 0 to ``n`` - 1 is there."""
-    order = np.argsort(keys, kind="stable")
+def by_key(keys: np.ndarray, n: int) -> np.ndarray:
+    """The stable order of keys below ``n``: 16 bits at a time, which are sorted by counting."""
+    order = np.argsort(keys.astype(np.uint16), kind="stable")
+    for bits in range(16, max(n - 1, 0).bit_length(), 16):
+        order = order[np.argsort((keys[order] >> bits).astype(np.uint16), kind="stable")]
+    return order
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where each key begins among sorted ones."""
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def sums_by_key(keys: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys that occur, all below ``n``, and the sum of each one's rows of ``values``."""
+    order = by_key(keys, n)
     keys = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return np.add.reduceat(values[order], first, axis=0)
+    first = _starts(keys)
+    sums = values.take(order[first], axis=0)
+    size = np.diff(first, append=len(keys))
+    many = np.flatnonzero(size > 1)  # most keys stand once, and their rows are the sums
+    if len(many):
+        size = size[many]
+        starts = np.cumsum(size) - size
+        rows = order[np.repeat(first[many] - starts, size) + np.arange(size.sum())]
+        sums[many] = np.add.reduceat(values.take(rows, axis=0), starts, axis=0)
+    return keys[first], sums
+
+
+def gradients(r: np.ndarray, w: np.ndarray, out: np.ndarray, drawn: np.ndarray, log_noise: np.ndarray, contexts: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """The gradients of noise-contrastive estimation, as steep as in batches of 64: of all output vectors and, if wanted, of each context.
+
+    ``r`` are the contexts, ending with 1, and ``w`` their targets, which are sorted.
+    """
+    own, noise = out.take(w, axis=0), out.take(drawn, axis=0)
+    eg = (probabilities(log_noise[w] - np.einsum("ij,ij->i", r, own)) - 1) * np.float32(1 / 64)
+    # 1 / (1 + exp(z)) is (tanh(z / 2) - 1) / -2
+    half = noise * np.float32(-0.5)
+    half[:, -1] += log_noise[drawn] * np.float32(0.5)
+    eb = r @ half.T
+    np.tanh(eb, out=eb)
+    eb -= 1
+    grad, first = np.zeros_like(out), _starts(w)
+    grad[w[first]] = np.add.reduceat(eg[:, None] * r, first, axis=0)
+    np.add.at(grad, drawn, (r.T @ eb).T * np.float32(-0.5 / 64))
+    if not contexts:
+        return grad, None
+    of = eb @ (noise[:, :-1] * np.float32(-0.5 / 64))
+    of += own[:, :-1] * eg[:, None]
+    return grad, of
+
+
+def descend(values: np.ndarray, sums: np.ndarray, g: np.ndarray, rate: float, at: np.ndarray | None = None) -> None:
+    """A step of AdaGrad, in the rows ``at`` or all of them."""
+    own = sums if at is None else sums.take(at, axis=0)
+    own += g * g
+    step = np.sqrt(own)
+    np.divide(g, step, out=step)
+    step *= np.float32(rate)
+    if at is None:
+        values -= step
+    else:
+        sums[at] = own
+        values[at] = values.take(at, axis=0) - step
 
 
 class Trainer:
@@ -257,29 +435,18 @@ class Trainer:
 
     def step(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> None:
         m, n, width = self.m, len(w), self.m.inp.shape[1]
-        both = np.stack((x, y), 1)
-        q = m.inp[both].reshape(n, 2 * width)
-        r = q @ m.ab
+        order = by_key(w, len(m.out))
+        w, both = w[order], np.stack((x[order], y[order]), 1)
+        q = m.inp.take(both, axis=0).reshape(n, 2 * width)
+        r = np.ones((n, width + 1), np.float32)
+        np.matmul(q, m.ab, out=r[:, :-1])
         drawn = np.minimum(np.searchsorted(self.cumulative, self.rng.random(self.k) * self.cumulative[-1]), len(m.noise) - 1)
-        out, noise = m.out[w], m.out[drawn]
-        eg = (probabilities(self.log_noise[w] - m.bias[w] - np.einsum("ij,ij->i", r, out)) - 1)[:, None]
-        eb = r @ -noise.T
-        eb += self.log_noise[drawn] - m.bias[drawn]
-        eb = probabilities(eb)
-        dr = eg * out + eb @ noise
-        dr *= np.float32(1 / 64)  # as steep as in batches of 64
-        grads = {"ab": q.T @ dr}
-        eg, eb = eg * np.float32(1 / 64), eb * np.float32(1 / 64)
-        used, place = np.unique(np.concatenate((w, drawn)), return_inverse=True)
-        grads["out"] = used, _sum_rows(place, np.concatenate((eg * r, eb.T @ r)), len(used))
-        grads["bias"] = used, np.bincount(place, np.concatenate((eg[:, 0], eb.sum(0))), len(used)).astype(np.float32)
-        used, place = np.unique(both, return_inverse=True)
-        grads["inp"] = used, _sum_rows(place.ravel(), (dr @ m.ab.T).reshape(2 * n, width), len(used))
-        for k, g in grads.items():
-            at, g = g if isinstance(g, tuple) else (slice(None), g)
-            own = self.sums[k][at] + g * g
-            self.sums[k][at] = own
-            getattr(m, k)[at] -= self.rate * g / np.sqrt(own)
+        grad, dr = gradients(r, w, m.out, drawn, self.log_noise, True)
+        used, grads = sums_by_key(both.ravel(), (dr @ m.ab.T).reshape(2 * n, width), len(m.inp))
+        ab = q.T @ dr
+        descend(m.inp, self.sums["inp"], grads, self.rate, used)
+        descend(m.ab, self.sums["ab"], ab, self.rate)
+        descend(m.out, self.sums["out"], grad, self.rate)
 
 
 def probabilities(z: np.ndarray) -> np.ndarray:
@@ -347,9 +514,10 @@ def _epoch(trainer: Trainer, texts: list[np.ndarray]) -> int:
     texts.clear()
     w = trainer.m.of.astype(np.uint32)[w]
     order = shuffled(trainer.rng, x, y, w)
+    x, y, w = x[order], y[order], w[order]
     for at in range(0, len(w), MINI_BATCH):
-        own = order[at : at + MINI_BATCH]
-        trainer.step(x[own], y[own], w[own])
+        some = slice(at, at + MINI_BATCH)
+        trainer.step(x[some], y[some], w[some])
     return len(w)
 
 
@@ -408,17 +576,17 @@ def places(texts: DataFrame, top: int, parts: int, replicas: int) -> DataFrame:
             inside = w >= top
             slot, leaf = w[inside] - np.uint32(top), np.concatenate(leaves)
             own = (slot // parts).astype(np.int64) * replicas + copy[inside]
-            order = np.argsort(own, kind="stable")
+            order = by_key(own, parts * replicas)
             columns = [c[order] for c in (x[inside], y[inside], slot % parts, leaf, doc[inside])]
             own = own[order]
-            starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
+            starts = _starts(own)
             rows = [[packed(c[a:z]) for c in columns] for a, z in zip(starts, [*starts, len(own)][1:], strict=True)]
             return batch(_PLACES_ARROW, part=own[starts] // replicas, replica=own[starts] % replicas, block=[block] * len(rows), **{k: [r[j] for r in rows] for j, k in enumerate(_PLACES_ARROW.names[3:])})
 
         at, held, leaves, docs, hashes, size = None, [], [], [], [], 0
         for b in pieces(batches):
             for block, doc, told, train, codes, leaf in zip(*[b.column(k).to_pylist() for k in ("block", "doc", "hash", "train", "codes", "leaves")], strict=True):
-                if held and (block != at or size >= PLACES_TOKENS):
+                if held and (block != at or 2 * doc < docs[-1] or size >= PLACES_TOKENS):  # a row's texts ascend
                     yield closed(at, held, leaves, docs, hashes)
                     held, leaves, docs, hashes, size = [], [], [], [], 0
                 at = block
@@ -438,33 +606,26 @@ class Level:
 
     def __init__(self, counts: np.ndarray, width: int):
         self.shares = counts / counts.sum()
-        self.out, self.bias = np.zeros((len(counts), width), np.float32), np.log(self.shares).astype(np.float32)
+        self.out = np.column_stack((np.zeros((len(counts), width)), np.log(self.shares))).astype(np.float32)
 
     def train(self, r, w: np.ndarray, rng, noise: int, size: int, rate: float = 0.08) -> None:
         """One pass of noise-contrastive estimation over the places in their order; ``r`` gives the contexts at some of them."""
-        if len(self.bias) < 2:
+        if len(self.out) < 2:
             return
-        sums, bias_sums = np.full_like(self.out, 0.1), np.full_like(self.bias, 0.1)
-        cumulative, log_noise = np.cumsum(self.shares), np.log(noise * self.shares).astype(np.float32)
+        sums, cumulative, log_noise = np.full_like(self.out, 0.1), np.cumsum(self.shares), np.log(noise * self.shares).astype(np.float32)
         for at in range(0, len(w), size):
-            q, t = r(slice(at, at + size)), w[at : at + size]
+            order = at + by_key(w[at : at + size], len(self.out))
             drawn = np.minimum(np.searchsorted(cumulative, rng.random(noise) * cumulative[-1]), len(cumulative) - 1)
-            eg = probabilities(log_noise[t] - self.bias[t] - np.einsum("ij,ij->i", q, self.out[t])) - 1
-            eb = q @ -self.out[drawn].T
-            eb += log_noise[drawn] - self.bias[drawn]
-            eb = probabilities(eb)
-            used, place = np.unique(np.concatenate((t, drawn)), return_inverse=True)
-            g = _sum_rows(place, np.concatenate((eg[:, None] * q, eb.T @ q)), len(used)) / 64
-            gb = np.bincount(place, np.concatenate((eg, eb.sum(0))), len(used)).astype(np.float32) / 64
-            sums[used] += g * g
-            bias_sums[used] += gb * gb
-            self.out[used] -= rate * g / np.sqrt(sums[used])
-            self.bias[used] -= rate * gb / np.sqrt(bias_sums[used])
+            descend(self.out, sums, gradients(r(order), w[order], self.out, drawn, log_noise, False)[0], rate)
 
     def log_probabilities(self, r: np.ndarray, w: np.ndarray) -> np.ndarray:
-        if len(self.bias) < 2:
+        if len(self.out) < 2:
             return np.zeros(len(w), np.float32)
-        return np.einsum("ij,ij->i", r, self.out[w]) + self.bias[w] - log_norms(r, self.out, self.bias)
+        p = log_norms(r, self.out)
+        np.negative(p, out=p)
+        for at in range(0, len(w), 1 << 16):
+            p[at : at + (1 << 16)] += np.einsum("ij,ij->i", r[at : at + (1 << 16)], self.out.take(w[at : at + (1 << 16)], axis=0))
+        return p
 
 
 def within(first: np.ndarray, second: np.ndarray, x, y, slot, leaf, train, members: tuple[np.ndarray, np.ndarray, np.ndarray], parts: int, seed: int) -> np.ndarray:
@@ -473,31 +634,36 @@ def within(first: np.ndarray, second: np.ndarray, x, y, slot, leaf, train, membe
     ``members``: slot, leaf and count of the class's tokens.
     """
     rng, width = np.random.default_rng(seed), first.shape[1]
+    first, second = with_biases(first, second)
     order = shuffled(rng, x, y, slot, leaf, train)
-    order = order[np.argsort(slot[order], kind="stable")]  # by slot, and within one the same however the places came
+    order = order[by_key(slot[order], parts)]  # by slot, and within one the same however the places came
     x, y, slot, leaf, train = x[order], y[order], slot[order], leaf[order], train[order]
     of, number, count = members
     whole = Level(np.bincount(of, count, parts) + 1.0, width)
     taught = rng.permutation(np.flatnonzero(train))
     tx, ty = x[taught], y[taught]
-    whole.train(lambda some: first[tx[some]] + second[ty[some]], slot[taught], rng, NOISE, MINI_BATCH)
+    whole.train(lambda some: predicted(first, second, tx[some], ty[some]), slot[taught], rng, NOISE, MINI_BATCH)
     p = np.empty(len(slot))
-    for at in range(0, len(slot), 1 << 16):
-        some = slice(at, at + (1 << 16))
-        p[some] = whole.log_probabilities(first[x[some]] + second[y[some]], slot[some])
     by = np.argsort(of, kind="stable")
     of, number, count = of[by], number[by], count[by]
     edge, known = np.searchsorted(slot, np.arange(parts + 1)), np.searchsorted(of, np.arange(parts + 1))
-    for j in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
-        some, own = slice(edge[j], edge[j + 1]), slice(known[j], known[j + 1])
-        counts = np.ones(own.stop - own.start + 1)  # leaf 0: tokens that no training text holds
-        counts[number[own]] += count[own]
-        tokens_of, r, w = Level(counts, width), first[x[some]] + second[y[some]], leaf[some]
-        here = train[some]
-        taught_r = r[here]
-        tokens_of.train(lambda i, taught_r=taught_r: taught_r[i], w[here], rng, 32, 1024)
-        for at in range(0, len(w), 1 << 16):
-            p[edge[j] + at : edge[j] + at + len(w[at : at + (1 << 16)])] += tokens_of.log_probabilities(r[at : at + (1 << 16)], w[at : at + (1 << 16)])
+    at = 0
+    while at < parts:
+        end = max(at + 1, int(np.searchsorted(edge, edge[at] + (1 << 16), "right")) - 1)
+        some = slice(edge[at], edge[end])
+        every = predicted(first, second, x[some], y[some])
+        p[some] = whole.log_probabilities(every, slot[some])
+        for j in range(at, end):
+            if edge[j] == edge[j + 1]:
+                continue
+            some, own = slice(edge[j], edge[j + 1]), slice(known[j], known[j + 1])
+            counts = np.ones(own.stop - own.start + 1)  # leaf 0: tokens that no training text holds
+            counts[number[own]] += count[own]
+            tokens_of, r, w = Level(counts, width), every[edge[j] - edge[at] : edge[j + 1] - edge[at]], leaf[some]
+            here = np.flatnonzero(train[some])
+            tokens_of.train(lambda i, r=r, here=here: r.take(here[i], axis=0), w[here], rng, 32, 1024)
+            p[some] += tokens_of.log_probabilities(r, w)
+        at = end
     out = np.empty(len(p))
     out[order] = p
     return out
@@ -511,17 +677,19 @@ def slot_scores(found: DataFrame, members: DataFrame, model: Model, replicas: in
     def fit(key, left: pa.Table, right: pa.Table) -> pa.Table:
         first, second = shared.value
         blocks = left.column("block").to_pylist()
-        x, y, slot, leaf, doc = (np.concatenate([unpacked(v.as_py()) for v in left.column(k)] or [np.zeros(0, np.uint32)]) for k in _PLACES_ARROW.names[3:])
-        sizes = [len(unpacked(v.as_py())) for v in left.column("doc")]
-        right = right.sort_by([("slot", "ascending"), ("leaf", "ascending")])
-        known = tuple(right.column(k).to_numpy().astype(np.int64) for k in ("slot", "leaf", "c"))
+        x, y, slot, leaf = (_every(left.column(k)) for k in _PLACES_ARROW.names[3:-1])
+        docs = [unpacked(v) for v in left.column("doc").to_pylist()]
+        doc = np.concatenate(docs or [np.zeros(0, np.uint32)])
+        known = tuple(_every(right.column(k), of).astype(np.int64) for k, of in (("local", unpacked), ("leaf", unpacked), ("c", _longs)))
+        known = tuple(k[np.lexsort(known[1::-1])] for k in known)
         seed = 0 if key[0].as_py() is None else (key[0].as_py() + 1) * replicas + key[1].as_py()
         p = within(first, second, x, y, slot, leaf, doc % 2 == 1, known, parts, seed) / np.log(10)
         rows, at = [], 0
-        for block, n in zip(blocks, sizes, strict=True):
-            docs, place = np.unique(doc[at : at + n] // 2, return_inverse=True)
-            rows.append((block, packed(np.diff(docs, prepend=np.uint32(0))), np.bincount(place, p[at : at + n], len(docs)).astype("<f4").tobytes()))
-            at += n
+        for block, some in zip(blocks, docs, strict=True):
+            some = some // 2  # ascending
+            starts = _starts(some)
+            rows.append((block, packed(np.diff(some[starts], prepend=np.uint32(0))), np.add.reduceat(p[at : at + len(some)], starts).astype("<f4").tobytes()))
+            at += len(some)
         return pa.Table.from_batches([batch(_SUMS_ARROW, **{k: [r[j] for r in rows] for j, k in enumerate(_SUMS_ARROW.names)})])
 
     each = members.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))))
@@ -552,24 +720,19 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: s
     if classes < 1:
         raise ValueError("there must be classes")
     blocks = settled(coded(docs, F.coalesce(train, F.lit(False)), id_col, text_col, block_tokens), "blocks")
-    words = blocks.where("token is not null").select("block", "token", "local", "n")
-    counts = settled(words.groupBy("token").agg(F.sum("n").alias("c")), "counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    top = counts.where("c > 0").orderBy(F.desc("c"), "token").limit(classes).collect()
-    numbers = docs.sparkSession.createDataFrame(pa.table({"token": pa.array([bytes(r.token) for r in top], pa.binary()), "cls": pa.array(range(len(top)), pa.int32())}))
-    parts = parts_for(distinct - len(top))
-    slotted = counts.join(F.broadcast(numbers), "token", "left").withColumn("slot", F.pmod(F.xxhash64("token"), F.lit(parts * parts)).cast("int"))
-    known = F.col("cls").isNull() & (F.col("c") > 0)
-    leaf = F.when(known, F.row_number().over(Window.partitionBy("slot", known).orderBy("token"))).otherwise(0)
-    own = settled(slotted.select("token", "c", F.coalesce("cls", F.col("slot") + len(top)).alias("code"), F.col("cls").isNull().alias("inside"), "slot", leaf.alias("leaf")), "types")
+    words = blocks.where("cell is not null").select("block", "cell", "words")
+    counts = settled(counted(words, classes), "counts")
+    total, distinct = counts.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    top = counts.where("token is not null").orderBy(F.desc("c"), "token").limit(classes).collect()
     forget(counts)
-    found = words.join(own, "token").select("block", "local", "c", "code", "inside", "leaf")
-    members = own.where("leaf > 0").select(F.floor(F.col("slot") / parts).cast("int").alias("part"), (F.col("slot") % parts).alias("slot"), "leaf", "c")
-    texts = settled(classed(blocks.where("token is null").select("block", "doc_id", "hash", "train", "ids"), found, total, distinct), "classes")
+    parts = parts_for(distinct - len(top))
+    own = settled(numbered(words, [bytes(r.token) for r in top], parts), "types")
+    members = own.where("block is null").select("part", "local", "leaf", "c", "total")
+    texts = settled(classed(blocks.where("cell is null").select("block", "doc_id", "hash", "train", "ids"), own.where("block is not null"), total, distinct, len(top)), "classes")
     forget(blocks)
     shares = np.ones(len(top) + parts)
     shares[: len(top)] = [r.c for r in top]
-    for r in members.groupBy("part").agg(F.sum("c").alias("c")).collect():  # fewer than the cube root of the tokens
+    for r in members.groupBy("part").agg(F.sum("total").alias("c")).collect():  # fewer than the cube root of the tokens
         shares[len(top) + r.part] += r.c
     # A class stands in so many replicas that one task's places are bounded, its own and those of texts that do not teach.
     stand = texts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0] - sum(r.c for r in top)

@@ -10,6 +10,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -173,6 +174,68 @@ def test_tokens_beyond_the_classes_are_predicted_from_their_contexts(spark):
     assert got[0] > got[1] * 0.9
 
 
+def test_a_block_sends_its_distinct_tokens_as_one_row_for_each_cell(spark):
+    """A row for each distinct token of each block made counting and numbering a third of the work."""
+    texts = [" ".join(f"Token{i * 3000 + j}" for j in range(6000)) for i in range(3)] + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    coded = lm.settled(lm.coded(docs, F.col("doc_id") != 1, "doc_id", "text", 10**6), "coded")
+    assert coded.count() <= len(texts) + 1024
+    rows = coded.where("cell is not null").collect()
+    held = [(w, int(k), int(n), r.cell) for r in rows for tokens, local, c, _ in [lm.words_unpacked([bytes(r.words)])] for w, k, n in zip(tokens.to_pylist(), local, c, strict=True)]
+    want = Counter(w for d, t in enumerate(texts) for w in [*(t or "").lower().encode().split(), b"\n"] if d != 1)
+    assert sorted(k for _, k, _, _ in held) == list(range(12_001)) and {w: n for w, _, n, _ in held if n} == want
+    assert [c for *_, c in held] == [int(h >> np.uint64(54)) for h in lm.string_hashes(pa.array([w for w, *_ in held], pa.binary()))]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 45])
+def test_tokens_have_leaves_of_their_own_in_their_slots(spark, parts):
+    rng = random.Random(parts)
+    rows = [(i, " ".join(f"w{rng.randrange(4000)}" for _ in range(300))) for i in range(60)]
+    docs, train = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") % 4 != 0
+    words = lm.settled(lm.coded(docs, train, "doc_id", "text", 2000), "coded").where("cell is not null")
+    want = Counter(w.encode() for d, t in rows if d % 4 for w in [*t.split(), "\n"])
+    counts = lm.counted(words, 5).collect()
+    assert sum(r.total or 0 for r in counts) == sum(want.values()) and sum(r.types or 0 for r in counts) == len(want)
+    top = sorted(((r.token, r.c) for r in counts if r.token), key=lambda x: (-x[1], bytes(x[0])))[:5]
+    assert top == sorted(want.items(), key=lambda x: (-x[1], x[0]))[:5]
+    tokens = {(r.block, int(k)): w for r in words.collect() for d, local, _, _ in [lm.words_unpacked([bytes(r.words)])] for w, k in zip(d.to_pylist(), local, strict=True)}
+    got, members = {}, []
+    for r in lm.numbered(words, [bytes(w) for w, _ in top], parts).collect():
+        local, leaf, c = lm.unpacked(r.local).tolist(), lm.unpacked(r.leaf).tolist(), np.frombuffer(lm.unpress(r.c), np.int64).tolist()
+        if r.block is None:
+            members += [(r.part * parts + k, f, n) for k, f, n in zip(local, leaf, c, strict=True)]
+            assert r.total == sum(c)
+            continue
+        for k, code, f, n in zip(local, lm.unpacked(r.code).tolist(), leaf, c, strict=True):
+            assert got.setdefault(tokens[r.block, k], (code, f, n)) == (code, f, n)  # the same in every block
+    assert set(got) == set(tokens.values()) and all(n == want[w] for w, (_, _, n) in got.items())
+    assert [got[w][0] for w, _ in top] == [0, 1, 2, 3, 4]
+    inside = sorted((code - 5, f, n) for code, f, n in got.values() if f)
+    assert inside == sorted(members) and len({x[:2] for x in inside}) == len(inside) == len(want) - 5
+    assert all(0 <= s < parts * parts for s, _, _ in inside) and all(f == 0 for w, (_, f, _) in got.items() if not want[w])
+
+
+def test_steps_follow_the_gradients_of_single_places():
+    rng = np.random.default_rng(5)
+    x, y, w = rng.integers(0, 70_001, 300), rng.integers(0, 3, 300), rng.integers(0, 9, 300)
+    keys, rows = np.stack((x, y), 1).ravel(), rng.normal(size=(600, 4)).astype(np.float32)
+    used, sums = lm.sums_by_key(keys.astype(np.uint32), rows, 70_001)
+    assert used.tolist() == sorted(set(keys.tolist())) and all(np.allclose(s, rows[keys == k].sum(0), atol=1e-5) for k, s in zip(used, sums, strict=True))
+    r, out, drawn = np.column_stack((rng.normal(size=(300, 4)), np.ones(300))).astype(np.float32), rng.normal(size=(9, 5)).astype(np.float32), rng.integers(0, 9, 6)
+    w, log_noise = np.sort(w), np.log(rng.random(9)).astype(np.float32)
+    grad, of = np.zeros((9, 5)), np.zeros((300, 4))
+    for i, t in enumerate(w):
+        for k, target in [(t, 1), *((d, 0) for d in drawn)]:
+            slope = (1 / (1 + math.exp(log_noise[k] - r[i] @ out[k])) - target) / 64
+            grad[k] += slope * r[i]
+            of[i] += slope * out[k, :4]
+    got = lm.gradients(r, w, out, drawn, log_noise, True)
+    assert np.allclose(got[0], grad, atol=1e-4) and np.allclose(got[1], of, atol=1e-5) and lm.gradients(r, w, out, drawn, log_noise, False)[1] is None
+    for scale in (1, 80):  # beyond 60 the largest product is taken out first
+        z = (r * scale).astype(np.float64) @ out.T
+        assert np.allclose(lm.log_norms(r * np.float32(scale), out), np.log(np.exp(z - z.max(1)[:, None]).sum(1)) + z.max(1), rtol=1e-4, atol=1e-4)
+
+
 def test_slots_grow_with_the_tokens():
     assert [lm.parts_for(n) for n in (0, 1, 2, 8, 9, 27_000, 27_001, 10**9)] == [1, 1, 2, 2, 3, 30, 31, 1000]
     model = lm.Model(np.full(7, 1 / 7), width=4, parts=3)
